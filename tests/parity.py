@@ -1,0 +1,66 @@
+"""Compare a Spark result with a SQL result: columns, types, rows."""
+
+from __future__ import annotations
+
+import math
+import os
+
+import duckdb
+
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
+    "conversations"
+).split()
+
+# SQL type of the twin for each Spark type.
+SAME_TYPE = {
+    "int": "INTEGER",
+    "bigint": "BIGINT",
+    "double": "DOUBLE",
+    "string": "VARCHAR",
+    "timestamp_ntz": "TIMESTAMP",
+    "date": "DATE",
+}
+
+
+def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
+    con = duckdb.connect()
+    for table in TABLES:
+        path = os.path.join(sf_dir, f"{table}.parquet")
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{path}')")
+    return con
+
+
+def _plain(value):
+    if isinstance(value, float):
+        return None if math.isnan(value) else repr(value + 0.0)
+    return value if value is None else str(value)
+
+
+def _table(names: list[str], rows) -> tuple[list[str], list[tuple]]:
+    order = sorted(range(len(names)), key=lambda i: names[i])
+    plain = [tuple(_plain(row[i]) for i in order) for row in rows]
+    plain.sort(key=lambda row: tuple("" if v is None else v for v in row))
+    return [names[i] for i in order], plain
+
+
+def differences(df, con: duckdb.DuckDBPyConnection, sql: str) -> list[str]:
+    rows = [tuple(row) for row in df.collect()]
+    cursor = con.execute(sql)
+    names = [d[0] for d in cursor.description]
+    types = {d[0]: str(d[1]) for d in cursor.description}
+    wanted = cursor.fetchall()
+    found = []
+    if sorted(df.columns) != sorted(names):
+        return [f"columns {sorted(df.columns)} against {sorted(names)}"]
+    for name, kind in df.dtypes:
+        if SAME_TYPE.get(kind, kind) != types[name]:
+            found.append(f"type of {name}: {kind} against {types[name]}")
+    if len(rows) != len(wanted):
+        found.append(f"{len(rows)} rows against {len(wanted)}")
+    _, left = _table(df.columns, rows)
+    columns, right = _table(names, wanted)
+    wrong = [(a, b) for a, b in zip(left, right) if a != b]
+    if wrong:
+        found.append(f"{len(wrong)} rows differ, columns {columns}: {wrong[:3]}")
+    return found
