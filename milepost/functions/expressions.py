@@ -7,6 +7,7 @@ whole-stage code generation.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -67,6 +68,26 @@ def in_year(ts: Column, year: Column) -> Column:
     return F.year(ts) == year
 
 
+def exact_total(value: Column) -> Column:
+    """Sum of amounts with up to six decimals, as ``decimal(29,6)``.
+
+    A sum of doubles changes in its last digits with the order tasks finish in, which flips
+    rounded values that lie on a tie. Whole units and millionths are summed as two integers:
+    exact, in any order, and without a decimal object per row.
+    """
+    whole = F.floor(value)
+    millionths = F.rint((value - whole) * F.lit(1e6)).cast("long")
+    return F.sum(whole).cast("decimal(20,0)") + F.sum(millionths).cast("decimal(20,0)") * F.lit(Decimal("0.000001"))
+
+
+def exact_sum(value: Column) -> Column:
+    return exact_total(value).cast("double")
+
+
+def exact_avg(value: Column) -> Column:
+    return F.try_divide(exact_sum(value), F.count(value))
+
+
 def percent(part: Column, whole: Column) -> Column:
     """100 * part / whole, NULL when the denominator is zero."""
     return F.try_divide(F.lit(100.0) * part, whole.cast("double"))

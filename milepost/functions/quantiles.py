@@ -5,11 +5,11 @@ memory, which fails when a report group holds a third of a 100 TB table. Here:
 
 1. one aggregation per report group takes the plain aggregates, the counts and a
    bounded-size sketch, which yields values proven to lie below and above each
-   wanted rank;
-2. a second pass counts the rows below the bracket and keeps the few values
-   inside it. Rows below collapse to one counter per task, so the shuffle carries
-   about ``6 / accuracy`` of the rows at worst;
-3. a running sum over those counts finds the exact ranks.
+   wanted rank (the bracket);
+2. a second pass marks each value as below, inside or above its bracket. Rows
+   without a value inside collapse to one counter per task and group, so the
+   shuffle carries about ``6 / accuracy`` of the rows per quantile;
+3. a running count over those finds the exact ranks.
 
 The sketch only decides how many values are kept. A rank that its bracket did not
 cover would raise an error, never return a wrong value.
@@ -25,6 +25,9 @@ from pyspark.sql import functions as F
 
 MAX_BROADCAST_GROUPS = 20_000
 
+# Stands for any value under a bracket.
+BELOW = -math.inf
+
 
 def broadcast_if_small(df: DataFrame, max_rows: int) -> tuple[DataFrame, bool]:
     """Return ``df`` as a broadcast local table if it has at most ``max_rows`` rows.
@@ -37,6 +40,11 @@ def broadcast_if_small(df: DataFrame, max_rows: int) -> tuple[DataFrame, bool]:
     return F.broadcast(df.sparkSession.createDataFrame(table, schema=df.schema)), True
 
 
+def _position(measure: str, prob: float) -> Column:
+    """Position of a quantile among the counted values, from 0."""
+    return (F.col(f"_n_{measure}") - 1) * F.lit(float(prob))
+
+
 def _same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
     condition = F.lit(True)
     for key in keys:
@@ -77,80 +85,82 @@ def grouped_quantiles(
 
     # A group this small is kept whole: the sketch guarantee is below one rank there.
     whole = 4 * accuracy
-    brackets = profile.select(
-        *[F.col(k).alias(f"_k_{k}") for k in keys],
-        *[
-            column
-            for s, m, j in slots
-            for column in (
-                F.when(F.col(f"_n_{m}") <= whole, F.lit(-math.inf))
-                .otherwise(F.col(f"_b_{m}")[2 * j]).alias(f"_lo_{s}"),
-                # NaN sorts above every number, so it leaves the bracket open.
-                F.when(F.col(f"_n_{m}") <= whole, F.lit(math.nan))
-                .otherwise(F.col(f"_b_{m}")[2 * j + 1]).alias(f"_hi_{s}"),
-            )
-        ],
-    )
-    positions = profile.select(
-        *[F.col(k).alias(f"_k_{k}") for k in keys],
-        *[
-            ((F.col(f"_n_{m}") - 1) * F.lit(float(probs[j]))).alias(f"_pos_{s}")
-            for s, m, j in slots
-        ],
-    )
+    limits = []
+    for s, m, j in slots:
+        few = F.col(f"_n_{m}") <= whole
+        limits += [
+            F.when(few, F.lit(BELOW)).otherwise(F.col(f"_b_{m}")[2 * j]).alias(f"_lo_{s}"),
+            # NaN sorts above every number, so it leaves the bracket open.
+            F.when(few, F.lit(math.nan)).otherwise(F.col(f"_b_{m}")[2 * j + 1]).alias(f"_hi_{s}"),
+            _position(m, probs[j]).alias(f"_pos_{s}"),
+        ]
+    brackets = profile.select(*[F.col(k).alias(f"_k_{k}") for k in keys], *limits)
     if is_small:
-        brackets, positions = F.broadcast(brackets), F.broadcast(positions)
+        brackets = F.broadcast(brackets)
 
-    candidates = F.array(
-        *[
-            F.struct(
-                F.lit(s).alias("slot"),
-                (F.col(f"_m_{m}").isNotNull() & (F.col(f"_m_{m}") <= F.col(f"_hi_{s}"))).alias("keep"),
-                F.when(F.col(f"_m_{m}") >= F.col(f"_lo_{s}"), F.col(f"_m_{m}")).alias("valor"),
-            )
-            for s, m, j in slots
-        ]
-    )
-    inside = (
+    def cell(slot: int, measure: str) -> Column:
+        value = F.col(f"_m_{measure}")
+        return F.when(value < F.col(f"_lo_{slot}"), F.lit(BELOW)).when(value <= F.col(f"_hi_{slot}"), value)
+
+    cells = (
         work.join(brackets, _same_keys(work, brackets, keys))
-        .select(*keys, F.explode(candidates).alias("c"))
-        .where("c.keep")
-        .groupBy(*keys, "c.slot", "c.valor")
+        .groupBy(
+            *keys,
+            *[F.col(f"_pos_{s}") for s, _, _ in slots],
+            *[cell(s, m).alias(f"_c_{s}") for s, m, _ in slots],
+        )
         .agg(F.count(F.lit(1)).alias("n"))
     )
+    listed = F.array(
+        *[
+            F.struct(F.lit(s).alias("slot"), F.col(f"_pos_{s}").alias("pos"), F.col(f"_c_{s}").alias("valor"))
+            for s, _, _ in slots
+        ]
+    )
     upto = F.sum("n").over(
         Window.partitionBy(*keys, "slot")
-        .orderBy(F.col("valor").asc_nulls_first())
+        .orderBy("valor")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    ranked = inside.withColumn("hasta", upto).withColumn("desde", F.col("hasta") - F.col("n"))
-    placed = ranked.join(positions, _same_keys(ranked, positions, keys))
+    ranked = (
+        cells.select(*keys, "n", F.inline(listed))
+        .where(F.col("valor").isNotNull())
+        .withColumn("hasta", upto)
+        .withColumn("desde", F.col("hasta") - F.col("n"))
+    )
 
     def value_at(slot: int, rank: Column) -> Column:
         here = (F.col("slot") == slot) & (F.col("desde") <= rank) & (rank < F.col("hasta"))
         return F.max(F.when(here, F.col("valor")))
 
-    found = placed.groupBy(*keys).agg(
-        *[
-            column
-            for s, _, _ in slots
-            for column in (
-                value_at(s, F.floor(f"_pos_{s}")).alias(f"_v_{s}"),
-                value_at(s, F.ceil(f"_pos_{s}")).alias(f"_w_{s}"),
-            )
-        ]
-    ).withColumnsRenamed({k: f"_k_{k}" for k in keys})
+    found = (
+        ranked.groupBy(*keys)
+        .agg(
+            *[
+                column
+                for s, _, _ in slots
+                for column in (
+                    value_at(s, F.floor("pos")).alias(f"_v_{s}"),
+                    value_at(s, F.ceil("pos")).alias(f"_w_{s}"),
+                )
+            ]
+        )
+        .withColumnsRenamed({k: f"_k_{k}" for k in keys})
+    )
     if is_small:
         # One row per group of an already size-checked table.
         found = F.broadcast(found)
     result = profile.join(found, _same_keys(profile, found, keys), "left")
 
     def quantile(slot: int, measure: str, j: int) -> Column:
-        pos = (F.col(f"_n_{measure}") - 1) * F.lit(float(probs[j]))
-        part = pos - F.floor(pos)
-        value = F.col(f"_v_{slot}") * (F.lit(1.0) - part) + F.col(f"_w_{slot}") * part
-        missed = (F.col(f"_n_{measure}") > 0) & value.isNull()
-        return F.when(missed, F.raise_error(F.lit("quantile rank outside its bracket"))).otherwise(value)
+        count, low, high = F.col(f"_n_{measure}"), F.col(f"_v_{slot}"), F.col(f"_w_{slot}")
+        position = _position(measure, probs[j])
+        part = position - F.floor(position)
+        covered = low.isNotNull() & high.isNotNull() & ((low != F.lit(BELOW)) | (count <= whole))
+        return (
+            F.when(covered, low * (F.lit(1.0) - part) + high * part)
+            .when(count > 0, F.raise_error(F.lit("quantile rank outside its bracket")))
+        )
 
     per_measure = {m: [quantile(s, m, j) for s, mm, j in slots if mm == m] for m in names}
     plain = [c for c in profile.columns if not c.startswith(("_n_", "_b_"))]

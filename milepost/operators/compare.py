@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from milepost.functions.expressions import rounded, top_per_group
+from milepost.functions.expressions import exact_avg, exact_sum, rounded, top_per_group
 from milepost.plans.tables import write_trips
 
 # Columns of the comparison source and the trip columns they come from.
@@ -47,8 +47,8 @@ def resumen_mensual(source: DataFrame, years: Sequence[int] | None = None, digit
         .groupBy("anio", F.month("pickup_datetime").alias("mes"), "tipo_taxi")
         .agg(
             F.count(F.lit(1)).alias("viajes"),
-            _shown(F.avg("trip_distance"), digits).alias("distancia_media"),
-            _shown(F.sum("total_amount"), digits).alias("monto_total"),
+            _shown(exact_avg(F.col("trip_distance")), digits).alias("distancia_media"),
+            _shown(exact_sum(F.col("total_amount")), digits).alias("monto_total"),
         )
         .orderBy("anio", "mes", "tipo_taxi")
     )
@@ -61,8 +61,8 @@ def distribucion_pago(source: DataFrame, years: Sequence[int] | None = None, dig
         .groupBy("anio", "tipo_taxi", "payment_type")
         .agg(
             F.count(F.lit(1)).alias("viajes"),
-            _shown(F.avg("fare_amount"), digits).alias("tarifa_media"),
-            _shown(F.avg("tip_amount"), digits).alias("propina_media"),
+            _shown(exact_avg(F.col("fare_amount")), digits).alias("tarifa_media"),
+            _shown(exact_avg(F.col("tip_amount")), digits).alias("propina_media"),
         )
         .orderBy("anio", "tipo_taxi", F.desc("viajes"), "payment_type")
     )

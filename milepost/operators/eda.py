@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 from milepost.functions import labels
 from milepost.functions.expressions import (
     Period,
+    exact_avg,
+    exact_sum,
+    exact_total,
     hours_crossed,
     in_period,
     is_weekend,
@@ -37,7 +40,7 @@ def evolucion_mensual(trips: DataFrame, period: Period) -> DataFrame:
     daily = (
         trips.where(in_period(F.col(PICKUP), period))
         .groupBy("tipo_taxi", F.to_date(F.col(PICKUP)).alias("dia"))
-        .agg(F.count(F.lit(1)).alias("n"), F.sum(revenue).alias("monto"))
+        .agg(F.count(F.lit(1)).alias("n"), exact_total(revenue).alias("monto"))
     )
     return (
         daily.groupBy("tipo_taxi", F.month("dia").alias("mes"))
@@ -47,7 +50,7 @@ def evolucion_mensual(trips: DataFrame, period: Period) -> DataFrame:
             "mes",
             "viajes",
             rounded(F.col("viajes") / F.col("dias"), 1).alias("viajes_por_dia"),
-            rounded(F.col("monto")).alias("monto_total"),
+            rounded(F.col("monto").cast("double")).alias("monto_total"),
         )
         .orderBy("mes", "tipo_taxi")
     )
@@ -76,12 +79,6 @@ def _measurable(trips: DataFrame, period: Period) -> DataFrame:
 
 def caracteristicas_por_tipo(trips: DataFrame, period: Period, exact: bool = True) -> DataFrame:
     """Mean and median distance, duration and amount, and mean passengers, per service."""
-    means = {
-        "distancia_media": "trip_distance",
-        "duracion_media_min": "minutos",
-        "pasajeros_promedio": "passenger_count",
-        "monto_promedio": "total_amount",
-    }
     medians = {
         "distancia_mediana": "trip_distance",
         "duracion_mediana_min": "minutos",
@@ -93,7 +90,10 @@ def caracteristicas_por_tipo(trips: DataFrame, period: Period, exact: bool = Tru
         {name: F.col(c) for name, c in medians.items()},
         aggs=[
             F.count(F.lit(1)).alias("viajes_validos"),
-            *[F.avg(c).alias(name) for name, c in means.items()],
+            exact_avg(F.col("trip_distance")).alias("distancia_media"),
+            F.avg("minutos").alias("duracion_media_min"),
+            F.avg("passenger_count").alias("pasajeros_promedio"),
+            exact_avg(F.col("total_amount")).alias("monto_promedio"),
         ],
         exact=exact,
     )
@@ -129,9 +129,9 @@ def propinas_tarjeta(trips: DataFrame, exact: bool = True) -> DataFrame:
         {"propina_mediana": tip},
         aggs=[
             F.count(F.lit(1)).alias("pagos_tarjeta"),
-            F.avg(tip).alias("propina_promedio"),
+            exact_avg(tip).alias("propina_promedio"),
             percent_of_rows(tip > 0).alias("pct_con_propina"),
-            percent(F.sum(tip), F.sum("fare_amount")).alias("propina_sobre_tarifa_pct"),
+            percent(exact_sum(tip), exact_sum(F.col("fare_amount"))).alias("propina_sobre_tarifa_pct"),
         ],
         exact=exact,
     )

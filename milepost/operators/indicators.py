@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 from milepost.functions import labels
 from milepost.functions.expressions import (
+    exact_avg,
+    exact_sum,
+    exact_total,
     in_year,
     iso_weekday,
     labelled,
@@ -37,8 +40,8 @@ def pasajeros_duracion(valid: DataFrame, exact: bool = True) -> DataFrame:
         aggs=[
             _trips_count(),
             F.avg("duracion_min").alias("duracion_media_min"),
-            F.avg("trip_distance").alias("distancia_media"),
-            F.try_divide(F.sum("duracion_min"), F.sum("trip_distance")).alias("min_por_milla"),
+            exact_avg(F.col("trip_distance")).alias("distancia_media"),
+            F.try_divide(F.sum("duracion_min"), exact_sum(F.col("trip_distance"))).alias("min_por_milla"),
         ],
         exact=exact,
     )
@@ -72,8 +75,8 @@ def pago_tarifa(valid: DataFrame, exact: bool = True) -> DataFrame:
         {"tarifa_base_mediana": F.col("fare_amount")},
         aggs=[
             _trips_count(),
-            F.avg("fare_amount").alias("tarifa_base_media"),
-            F.avg("trip_distance").alias("distancia_media"),
+            exact_avg(F.col("fare_amount")).alias("tarifa_base_media"),
+            exact_avg(F.col("trip_distance")).alias("distancia_media"),
         ],
         exact=exact,
     )
@@ -100,7 +103,7 @@ def origen_solicitud(
             "duracion_mediana_min": F.col("duracion_min"),
             "tarifa_por_milla_mediana": F.try_divide(fare, distance),
         },
-        aggs=[_trips_count(), F.avg(distance).alias("distancia_media")],
+        aggs=[_trips_count(), exact_avg(distance).alias("distancia_media")],
         exact=exact,
     )
     shown = _rounded_columns(
@@ -133,8 +136,8 @@ def propina_distancia(valid: DataFrame) -> DataFrame:
         .groupBy(_year_text().alias("anio"), band.otherwise(labels.RANGO_DISTANCIA_RESTO).alias("rango_distancia"))
         .agg(
             _trips_count(),
-            rounded(F.avg("tip_amount")).alias("propina_media"),
-            rounded(percent(F.sum("tip_amount"), F.sum("fare_amount"))).alias("propina_pct_tarifa"),
+            rounded(exact_avg(F.col("tip_amount"))).alias("propina_media"),
+            rounded(percent(exact_sum(F.col("tip_amount")), exact_sum(F.col("fare_amount")))).alias("propina_pct_tarifa"),
             rounded(percent_of_rows(F.col("tip_amount") > 0)).alias("pct_con_propina"),
         )
         .orderBy("anio", "rango_distancia")
@@ -149,8 +152,8 @@ def tipo_tarifa(valid: DataFrame) -> DataFrame:
         .groupBy(_year_text().alias("anio"), rate.alias("tipo_tarifa"))
         .agg(
             _trips_count(),
-            rounded(F.avg("fare_amount")).alias("tarifa_base_media"),
-            rounded(F.avg("trip_distance")).alias("distancia_media"),
+            rounded(exact_avg(F.col("fare_amount"))).alias("tarifa_base_media"),
+            rounded(exact_avg(F.col("trip_distance"))).alias("distancia_media"),
             rounded(F.avg("duracion_min")).alias("duracion_media_min"),
         )
     )
@@ -170,7 +173,7 @@ def destino_propina(valid: DataFrame, zones: DataFrame, min_trips: int = 10_000,
     per_zone = (
         _tipped_card(valid)
         .groupBy(F.col("destino_id").alias("zona_id"))
-        .agg(_trips_count(), F.sum("tip_amount").alias("propina"), F.sum("fare_amount").alias("tarifa"))
+        .agg(_trips_count(), exact_total(F.col("tip_amount")).alias("propina"), exact_total(F.col("fare_amount")).alias("tarifa"))
     )
     label = F.concat("zona", F.lit(" ("), "barrio", F.lit(")"))
     known = zones.where(~F.col("zona").isin(*labels.ZONAS_EXCLUIDAS)).select("zona_id", label.alias("destino"))
@@ -182,8 +185,10 @@ def destino_propina(valid: DataFrame, zones: DataFrame, min_trips: int = 10_000,
         .select(
             "destino",
             "viajes",
-            rounded(F.col("propina") / F.col("viajes")).alias("propina_media"),
-            rounded(percent(F.col("propina"), F.col("tarifa"))).alias("propina_pct_tarifa"),
+            rounded(F.col("propina").cast("double") / F.col("viajes")).alias("propina_media"),
+            rounded(percent(F.col("propina").cast("double"), F.col("tarifa").cast("double"))).alias(
+                "propina_pct_tarifa"
+            ),
         )
     )
     share = F.col("propina_pct_tarifa")
@@ -227,5 +232,5 @@ def cargo_congestion(trips: DataFrame) -> DataFrame:
     return _monthly(
         trips,
         rounded(percent_of_rows(fee > 0)).alias("pct_viajes_con_cargo"),
-        rounded(F.sum(fee)).alias("recaudacion_usd"),
+        rounded(exact_sum(fee)).alias("recaudacion_usd"),
     ).orderBy("fecha", "tipo_taxi")

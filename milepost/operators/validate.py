@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from milepost.functions.expressions import in_year, percent, rounded
+from milepost.functions.expressions import exact_avg, in_year, percent, rounded
 from milepost.functions.labels import SERVICIOS
 from milepost.plans.model import plausible
 from milepost.sources.inventory import period_of, service_of, year_of
@@ -67,8 +67,8 @@ def comparacion_anual(trips: DataFrame, years: Sequence[int]) -> DataFrame:
         .groupBy("anio", "tipo_taxi")
         .agg(
             F.count(F.lit(1)).alias("viajes"),
-            rounded(F.avg(F.when(distance > 0, distance))).alias("distancia_media"),
-            rounded(F.avg(F.when(total >= 0, total))).alias("monto_medio"),
+            rounded(exact_avg(F.when(distance > 0, distance))).alias("distancia_media"),
+            rounded(exact_avg(F.when(total >= 0, total))).alias("monto_medio"),
         )
         .orderBy("anio", "tipo_taxi")
     )
