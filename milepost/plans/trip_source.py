@@ -172,9 +172,12 @@ class StarTrips(TripSource):
 
     def __init__(self, spark: SparkSession, sf_dir: str, settings: Settings = SETTINGS) -> None:
         self.spark, self.sf_dir, self.settings = spark, sf_dir.rstrip("/"), settings
+        self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        if name not in self._tables:
+            self._tables[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self._tables[name]
 
     def trips(self, *columns: str) -> DataFrame:
         wanted = columns or tuple(VIAJES)
@@ -193,41 +196,32 @@ class StarTrips(TripSource):
                 F.col("s_suppkey").alias("l_suppkey"), F.col("s_nationkey").alias("origen_id")
             )
             joined = joined.join(supplier, "l_suppkey", "left")
-        model = self._model()
-        return joined.select(*[model[c].alias(c) for c in wanted])
-
-    def _model(self) -> dict:
-        shipped, ordered = F.col("l_shipdate"), F.col("o_orderdate")
-        price, discount, tax = F.col("l_extendedprice"), F.col("l_discount"), F.col("l_tax")
-        urgency = F.substring("o_orderpriority", 1, 1).cast("long")
-        flag, status = F.col("l_returnflag"), F.col("o_orderstatus")
-        request = (
-            F.when(shipped < F.lit(self.REQUEST_SINCE).cast("timestamp_ntz"), F.lit(None))
-            .when(status == "F", "HV0003")
-            .when(status == "O", "HV0005")
-            .when((status == "P") & (urgency == 1), "HV9999")
-        )
-        return {
-            "anio": F.year(shipped),
-            "mes": F.month(shipped),
-            "tipo_taxi": F.when(F.col("l_linestatus") == "O", "yellow").otherwise("green"),
-            "pickup_datetime": ordered,
-            "dropoff_datetime": shipped,
-            "duracion_min": minutes_between(ordered, shipped),
-            "passenger_count": F.col("l_linenumber").cast("long"),
-            "trip_distance": F.col("l_quantity"),
-            "ratecode_id": F.when(flag == "A", 1).when(flag == "N", 2).when(flag == "R", 99).cast("long"),
-            "payment_type": urgency % 5,
-            "fare_amount": price,
-            "tip_amount": price * discount,
-            "total_amount": price * (1 - discount) * (1 + tax),
-            "cbd_congestion_fee": F.coalesce(
-                F.when(F.year(shipped) >= self.FEE_SINCE_YEAR, tax), F.lit(0.0)
-            ),
-            "request_source": request,
-            "origen_id": F.col("origen_id"),
-            "destino_id": F.col("destino_id"),
-        }
+        minutes = minutes_between(F.col("o_orderdate"), F.col("l_shipdate")).alias("duracion_min")
+        return joined.select(*[minutes if c == "duracion_min" else F.expr(self.MODEL[c]).alias(c) for c in wanted])
+
+    # Trip columns as expressions over the joined tables.
+    MODEL = {
+        "anio": "year(l_shipdate)",
+        "mes": "month(l_shipdate)",
+        "tipo_taxi": "if(l_linestatus = 'O', 'yellow', 'green')",
+        "pickup_datetime": "o_orderdate",
+        "dropoff_datetime": "l_shipdate",
+        "passenger_count": "CAST(l_linenumber AS BIGINT)",
+        "trip_distance": "l_quantity",
+        "ratecode_id": "CASE l_returnflag WHEN 'A' THEN 1L WHEN 'N' THEN 2L WHEN 'R' THEN 99L END",
+        "payment_type": "CAST(substring(o_orderpriority, 1, 1) AS BIGINT) % 5",
+        "fare_amount": "l_extendedprice",
+        "tip_amount": "l_extendedprice * l_discount",
+        "total_amount": "l_extendedprice * (1 - l_discount) * (1 + l_tax)",
+        "cbd_congestion_fee": f"coalesce(if(year(l_shipdate) >= {FEE_SINCE_YEAR}, l_tax, NULL), 0D)",
+        "request_source": (
+            f"CASE WHEN l_shipdate < TIMESTAMP_NTZ '{REQUEST_SINCE}' THEN NULL "
+            "WHEN o_orderstatus = 'F' THEN 'HV0003' WHEN o_orderstatus = 'O' THEN 'HV0005' "
+            "WHEN o_orderstatus = 'P' AND substring(o_orderpriority, 1, 1) = '1' THEN 'HV9999' END"
+        ),
+        "origen_id": "origen_id",
+        "destino_id": "destino_id",
+    }
 
     def zones(self) -> DataFrame:
         region = self.table("region").withColumnRenamed("r_regionkey", "n_regionkey")

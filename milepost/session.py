@@ -14,6 +14,8 @@ SETTINGS = {
     # Splits hot months when tables are written with a rebalance hint.
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Recording the Python line of every column expression takes longer than a small report.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
