@@ -13,6 +13,7 @@ A month split over several part files is one monthly file here.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from urllib.parse import unquote
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -69,22 +70,36 @@ def below_root(path: Column, root: str) -> Column:
     return F.substring_index(path, tail, -1)
 
 
-def list_files(spark: SparkSession, root: str) -> DataFrame:
-    """One row per physical file: ``ruta, relativa, bytes, modificado``."""
+def _scan(spark: SparkSession, root: str) -> DataFrame:
     return (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", "*.parquet")
         .load(root)
-        .select(
-            F.col("path").alias("ruta"),
-            below_root(F.col("path"), root).alias("relativa"),
-            F.col("length").alias("bytes"),
-            F.col("modificationTime").alias("modificado"),
-        )
     )
 
 
+def list_files(spark: SparkSession, root: str) -> DataFrame:
+    """One row per physical file: ``ruta, relativa, bytes, modificado``. Spark leaves out empty files."""
+    return _scan(spark, root).select(
+        F.col("path").alias("ruta"),
+        below_root(F.col("path"), root).alias("relativa"),
+        F.col("length").alias("bytes"),
+        F.col("modificationTime").alias("modificado"),
+    )
+
+
+def empty_files(spark: SparkSession, root: str) -> DataFrame:
+    """``relativa`` of the files without any byte.
+
+    They are the ones Spark's file index names but its scan skips. The index lives on the
+    driver anyway.
+    """
+    names = [(unquote(name),) for name in _scan(spark, root).inputFiles()]
+    known = spark.createDataFrame(names, "ruta string").select(below_root(F.col("ruta"), root).alias("relativa"))
+    return known.join(list_files(spark, root), "relativa", "left_anti")
+
+
 def monthly_files(spark: SparkSession, root: str) -> DataFrame:
     """One row per monthly file: ``tipo_taxi, anio, mes, archivo, partes, bytes``.
 
@@ -143,8 +158,10 @@ def check_signatures(files: DataFrame) -> DataFrame:
 def monthly_file_status(spark: SparkSession, root: str) -> DataFrame:
     """``tipo_taxi, anio, mes, archivo, valido``: a month is valid when all its parts are."""
     path = F.col("relativa")
+    checked = check_signatures(list_files(spark, root)).select("relativa", "valido")
+    empty = empty_files(spark, root).withColumn("valido", F.lit(False))
     return (
-        check_signatures(list_files(spark, root))
+        checked.unionByName(empty)
         .groupBy(
             service_of(path, None).alias("tipo_taxi"),
             year_of(path).alias("anio"),

@@ -1,0 +1,31 @@
+"""New files are ingested once, whatever their schema."""
+
+from __future__ import annotations
+
+from milepost.streaming.arrival import ingest_arrivals, read_ingested
+from tests.drift_files import write_drift_set, write_month
+
+
+def test_second_run_adds_nothing_and_a_new_year_is_picked_up(spark, tmp_path):
+    root = write_drift_set(tmp_path / "raw")
+    table, checkpoint = str(tmp_path / "table"), str(tmp_path / "checkpoint")
+    assert ingest_arrivals(spark, str(root), table, checkpoint, files_per_batch=3) == 7
+    assert read_ingested(spark, table).count() == 28
+    assert ingest_arrivals(spark, str(root), table, checkpoint) == 0
+    assert read_ingested(spark, table).count() == 28
+    write_month(root, "green", 2027, 1, 9)
+    assert ingest_arrivals(spark, str(root), table, checkpoint) == 1
+    rows = read_ingested(spark, table)
+    assert rows.count() == 37
+    assert rows.where("anio = 2027").count() == 9
+
+
+def test_a_repeated_batch_replaces_itself(spark, tmp_path):
+    """A batch that failed after writing is run again under the same number."""
+    root = tmp_path / "raw"
+    write_month(root, "yellow", 2024, 1, 4)
+    table = str(tmp_path / "table")
+    ingest_arrivals(spark, str(root), table, str(tmp_path / "first"))
+    # A lost checkpoint entry makes Spark run batch 0 again.
+    ingest_arrivals(spark, str(root), table, str(tmp_path / "second"))
+    assert read_ingested(spark, table).count() == 4

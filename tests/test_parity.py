@@ -1,0 +1,34 @@
+"""Every report against its SQL twin on the driver tables."""
+
+from __future__ import annotations
+
+import os
+
+import pytest
+
+import __spark_entry__ as contract
+from tests.parity import connect, differences
+
+SF_DIR = os.environ.get("PARITY_SF_DIR", "/root/testdata/sf0.001")
+
+pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="driver tables not available")
+
+
+@pytest.fixture(scope="module")
+def twin():
+    return connect(SF_DIR)
+
+
+def test_every_report_has_a_twin():
+    assert set(contract.queries()) == set(contract.oracle_sql())
+
+
+@pytest.mark.parametrize("name", sorted(contract.queries()))
+def test_report_equals_twin(spark, twin, name):
+    df = contract.queries()[name](spark, SF_DIR)
+    assert differences(df, twin, contract.oracle_sql()[name]) == []
+
+
+def test_entry(spark):
+    rows = contract.entry(spark).collect()
+    assert {r.grupo for r in rows} == {"mas alta", "mas baja"}
