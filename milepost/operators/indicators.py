@@ -192,13 +192,16 @@ def destino_propina(valid: DataFrame, zones: DataFrame, min_trips: int = 10_000,
         )
     )
     share = F.col("propina_pct_tarifa")
-    high = per_label.orderBy(share.desc_nulls_last(), "destino").limit(n)
-    low = per_label.orderBy(share.asc_nulls_last(), "destino").limit(n).join(high.select("destino"), "destino", "left_anti")
+    name = F.col("destino").asc_nulls_last()
+    high = per_label.orderBy(share.desc_nulls_last(), name).limit(n)
+    low = per_label.orderBy(share.asc_nulls_last(), name).limit(n)
+    in_high = high.select(F.col("destino").alias("alto"))
+    low = low.join(in_high, F.col("destino").eqNullSafe(F.col("alto")), "left_anti")
     columns = ("destino", "viajes", "propina_media", "propina_pct_tarifa")
     return (
         high.select(F.lit("mas alta").alias("grupo"), *columns)
         .unionByName(low.select(F.lit("mas baja").alias("grupo"), *columns))
-        .orderBy(F.desc("propina_pct_tarifa"), "destino")
+        .orderBy(F.desc("propina_pct_tarifa"), name)
     )
 
 

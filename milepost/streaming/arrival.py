@@ -43,7 +43,8 @@ def ingest_arrivals(
         if not paths:
             return
         names = spark.createDataFrame([(p,) for p in paths], "ruta string")
-        names = names.repartition(min(len(paths), 64)).withColumn("relativa", below_root(F.col("ruta"), root))
+        # A footer takes milliseconds: a few dozen per task.
+        names = names.repartition(1 + len(paths) // 32).withColumn("relativa", below_root(F.col("ruta"), root))
         parts = []
         for service in SERVICIOS:
             if not any(service in below(p, root) for p in paths):
