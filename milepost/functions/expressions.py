@@ -93,9 +93,10 @@ def percent(part: Column, whole: Column) -> Column:
     return F.try_divide(F.lit(100.0) * part, whole.cast("double"))
 
 
-def percent_of_rows(condition: Column) -> Column:
-    """Share of rows meeting ``condition``; a NULL condition counts as not met."""
-    return F.lit(100.0) * F.avg(F.when(condition, 1).otherwise(0))
+def percent_of_rows(condition: Column, among: Column | None = None) -> Column:
+    """Share of rows (of those in ``among``) meeting ``condition``; a NULL condition counts as not met."""
+    met = F.when(condition, 1).otherwise(0)
+    return F.lit(100.0) * F.avg(met if among is None else F.when(among, met))
 
 
 def percent_within(df: DataFrame, value: str, keys: Sequence[str], name: str) -> DataFrame:

@@ -48,10 +48,8 @@ def comparacion_periodo(
             (F.count(F.lit(1)) / days).alias("viajes_por_dia"),
             percent_of_rows(F.col("cbd_congestion_fee") > 0).alias("pct_con_peaje"),
             F.count_if(valid).alias("validos"),
-            percent(F.count_if(valid & card), F.count_if(valid)).alias("pct_tarjeta"),
-            percent(
-                F.count_if(valid & card & (F.col("tip_amount") > 0)), F.count_if(valid & card)
-            ).alias("pct_tarjeta_con_propina"),
+            percent_of_rows(card, among=valid).alias("pct_tarjeta"),
+            percent_of_rows(F.col("tip_amount") > 0, among=valid & card).alias("pct_tarjeta_con_propina"),
         ],
         exact=exact,
     )
