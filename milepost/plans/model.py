@@ -6,10 +6,14 @@ from, not when the trip took place; reports compare both where it matters.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from milepost.functions.expressions import in_year, minutes_between
+from milepost.functions.labels import SERVICIOS
 from milepost.sources.drift import FILE_PATH
 from milepost.sources.inventory import below_root, month_of, year_of
 
@@ -62,6 +66,16 @@ def raw_contract(service: str) -> dict[str, str]:
     return {pickup: "timestamp_ntz", dropoff: "timestamp_ntz", **RAW_COMMON}
 
 
+def raw_contracts() -> dict[str, dict[str, str]]:
+    return {service: raw_contract(service) for service in SERVICIOS}
+
+
+def normalise_all(raw: Mapping[str, DataFrame], root: str) -> DataFrame:
+    """Both services, read with :func:`raw_contracts`, as one ``viajes`` relation."""
+    parts = [normalise(raw[service], service, root) for service in SERVICIOS if service in raw]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def normalise(raw: DataFrame, service: str, root: str) -> DataFrame:
     """Rows of one service, read with :func:`raw_contract`, as ``viajes`` rows."""
     pickup, dropoff = (F.col(c) for c in PICKUP_DROPOFF[service])

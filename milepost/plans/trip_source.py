@@ -15,11 +15,11 @@ from pyspark.sql import functions as F
 from milepost.functions.expressions import Period, minutes_between
 from milepost.functions.labels import SERVICIOS
 from milepost.plans import tables
-from milepost.plans.model import MAX_MINUTES, VIAJES, normalise, plausible, raw_contract
+from milepost.plans.model import MAX_MINUTES, VIAJES, normalise_all, plausible, raw_contract, raw_contracts
 from milepost.plans.settings import Settings, Umbrales
 from milepost.plans.workspace import new_folder
 from milepost.sources import inventory
-from milepost.sources.drift import read_with_contract
+from milepost.sources.drift import read_with_contracts
 from milepost.sources.zones import read_zones
 
 
@@ -82,24 +82,8 @@ class FileTrips(TripSource):
     @cached_property
     def _normalised(self) -> DataFrame:
         listing = inventory.list_files(self.spark, self.root)
-        parts = []
-        for service in SERVICIOS:
-            own = listing.where(F.col("relativa").contains(service))
-            if own.isEmpty():
-                continue
-            # A folder may only stand for its files if it holds nothing but this service.
-            folder = F.regexp_replace("relativa", r"[^/]+$", "")
-            apart = own.where(~folder.contains(service)).isEmpty()
-            raw = read_with_contract(
-                self.spark, self.root, own, raw_contract(service), whole_folders=apart
-            )
-            parts.append(normalise(raw, service, self.root))
-        if not parts:
-            raise FileNotFoundError(f"no monthly files below {self.root}")
-        whole = parts[0]
-        for part in parts[1:]:
-            whole = whole.unionByName(part)
-        return whole
+        raw = read_with_contracts(self.spark, self.root, listing, raw_contracts())
+        return normalise_all(raw, self.root)
 
     def trips(self, *columns: str) -> DataFrame:
         return self._normalised.select(*(columns or tuple(VIAJES)))

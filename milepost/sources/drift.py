@@ -15,48 +15,52 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from milepost.sources.inventory import footers
+from milepost.sources.inventory import footers, service_of
 
 FILE_PATH = "_ruta"
 
 
 def _type_variants(
-    footer_rows: DataFrame, contract: Mapping[str, str], whole_folders: bool
-) -> list[tuple[dict[str, str], list[str]]]:
-    """``(types that differ from the contract, files or folders)`` per variant.
+    files: DataFrame, contracts: Mapping[str, Mapping[str, str]], whole_folders: bool
+) -> dict[tuple[str, str], list[str]]:
+    """Files or folders per ``(service, types that differ from the contract)``, from one footer pass.
 
     Only metadata reaches the driver, one row per folder with uniform files; Spark's own
     file index for the same read holds more.
     """
-    by_lower = {name.lower(): kind for name, kind in contract.items()}
-    expected = F.create_map(*[F.lit(x) for item in by_lower.items() for x in item])
+    expected = {name.lower(): kind for contract in contracts.values() for name, kind in contract.items()}
+    kinds = F.create_map(*[F.lit(x) for item in expected.items() for x in item])
     name = F.lower("columna")
-    differs = name.isin(*by_lower) & (F.col("tipo") != expected[name])
-    per_file = footer_rows.groupBy("ruta").agg(
-        F.array_join(
-            F.sort_array(F.collect_list(F.when(differs, F.concat(name, F.lit(" "), F.col("tipo"))))), ","
-        ).alias("variante")
-    ).withColumn("carpeta", F.regexp_replace("ruta", r"/[^/]+$", ""))
-    units = per_file.select("variante", "ruta")
-    if whole_folders:
-        units = _folders_or_files(per_file)
-    variants: dict[str, list[str]] = {}
+    differs = name.isin(*expected) & (F.col("tipo") != kinds[name])
+    service = service_of(F.col("relativa"), "")
+    per_file = (
+        footers(files.where(service.isin(*contracts)))
+        .groupBy("ruta", "relativa", service.alias("servicio"))
+        .agg(
+            F.array_join(
+                F.sort_array(F.collect_list(F.when(differs, F.concat(name, F.lit(" "), F.col("tipo"))))), ","
+            ).alias("variante")
+        )
+    )
+    units = _folders_or_files(per_file) if whole_folders else per_file.select("servicio", "variante", "ruta")
+    variants: dict[tuple[str, str], list[str]] = {}
     for row in units.collect():
-        variants.setdefault(row.variante, []).append(row.ruta)
-    return [
-        (dict(part.split(" ", 1) for part in key.split(",") if part), sorted(variants[key]))
-        for key in sorted(variants)
-    ]
+        variants.setdefault((row.servicio, row.variante), []).append(row.ruta)
+    return variants
 
 
 def _folders_or_files(per_file: DataFrame) -> DataFrame:
-    """A folder stands for its files when they all store the same types."""
-    folders = per_file.groupBy("carpeta").agg(
-        F.min("variante").alias("menor"), F.max("variante").alias("mayor")
+    """A folder named after one service stands for its files when they all store the same types."""
+    folder, last = F.regexp_replace("ruta", r"/[^/]+$", ""), F.regexp_replace("relativa", r"[^/]+$", "")
+    placed = per_file.withColumns({"carpeta": folder, "propia": last.contains(F.col("servicio"))})
+    folders = placed.groupBy("carpeta").agg(
+        (F.bool_and("propia") & (F.count_distinct("servicio", "variante") == 1)).alias("uniforme"),
+        F.min("servicio").alias("servicio"),
+        F.min("variante").alias("variante"),
     )
-    uniform = folders.where("menor = mayor").select(F.col("menor").alias("variante"), F.col("carpeta").alias("ruta"))
-    mixed = folders.where("menor < mayor").select("carpeta")
-    return uniform.unionByName(per_file.join(mixed, "carpeta", "left_semi").select("variante", "ruta"))
+    uniform = folders.where("uniforme").select("servicio", "variante", F.col("carpeta").alias("ruta"))
+    mixed = placed.join(folders.where(~F.col("uniforme")).select("carpeta"), "carpeta", "left_semi")
+    return uniform.unionByName(mixed.select("servicio", "variante", "ruta"))
 
 
 def _read_variant(
@@ -75,24 +79,24 @@ def _read_variant(
     return df.select(*columns, *partitions, F.col("_metadata.file_path").alias(FILE_PATH))
 
 
-def read_with_contract(
-    spark: SparkSession, base: str, files: DataFrame, contract: Mapping[str, str], whole_folders: bool = True
-) -> DataFrame:
-    """Read ``files`` (``ruta, relativa``) as the columns and types of ``contract``.
+def read_with_contracts(
+    spark: SparkSession,
+    base: str,
+    files: DataFrame,
+    contracts: Mapping[str, Mapping[str, str]],
+    whole_folders: bool = True,
+) -> dict[str, DataFrame]:
+    """Read ``files`` (``ruta, relativa``) as the columns and types of their service's contract.
 
-    Missing columns are typed NULLs; partition folders below ``base`` become columns;
-    ``_ruta`` is the file each row came from. Pass ``whole_folders=False`` when ``files`` are
-    not all files of their folders.
+    Returns one DataFrame per service found. Missing columns are typed NULLs; partition folders
+    below ``base`` become columns; ``_ruta`` is the file each row came from. Pass
+    ``whole_folders=False`` when ``files`` are not all files of their folders.
     """
-    parts = [
-        _read_variant(spark, base, paths, contract, stored)
-        for stored, paths in _type_variants(footers(files), contract, whole_folders)
-    ]
-    if not parts:
-        raise FileNotFoundError(f"no Parquet files to read below {base}")
-    whole = parts[0]
-    for part in parts[1:]:
-        whole = whole.unionByName(part, allowMissingColumns=True)
-    return whole
-
-
+    read: dict[str, DataFrame] = {}
+    for (service, variant), paths in sorted(_type_variants(files, contracts, whole_folders).items()):
+        stored = dict(part.split(" ", 1) for part in variant.split(",") if part)
+        part = _read_variant(spark, base, sorted(paths), contracts[service], stored)
+        read[service] = read[service].unionByName(part, allowMissingColumns=True) if service in read else part
+    if not read:
+        raise FileNotFoundError(f"no monthly files to read below {base}")
+    return read

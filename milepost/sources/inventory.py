@@ -12,15 +12,20 @@ A month split over several part files is one monthly file here.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 from urllib.parse import unquote
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from milepost.functions.labels import SERVICIOS
 
+# Tasks get the functions below by value, so workers need not have this package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Fixed value: first and last bytes of a Parquet file.
 PARQUET_SIGNATURE = b"PAR1"
 

@@ -11,10 +11,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from milepost.functions.labels import SERVICIOS
-from milepost.plans.model import VIAJES, normalise, raw_contract
-from milepost.sources.drift import read_with_contract
-from milepost.sources.inventory import below_root
+from milepost.plans.model import VIAJES, normalise_all, raw_contracts
+from milepost.sources.drift import read_with_contracts
+from milepost.sources.inventory import below_root, service_of
 
 # Fixed value: schema of the file-listing source.
 LISTING = "path string, modificationTime timestamp, length long, content binary"
@@ -39,24 +38,14 @@ def ingest_arrivals(
 
     def append(batch: DataFrame, batch_id: int) -> None:
         # At most ``files_per_batch`` names.
-        paths = [row.path for row in batch.collect()]
+        paths = [row.path for row in batch.where(service_of(below_root(F.col("path"), root), "") != "").collect()]
         if not paths:
             return
         names = spark.createDataFrame([(p,) for p in paths], "ruta string")
         # A footer takes milliseconds: a few dozen per task.
         names = names.repartition(1 + len(paths) // 32).withColumn("relativa", below_root(F.col("ruta"), root))
-        parts = []
-        for service in SERVICIOS:
-            if not any(service in below(p, root) for p in paths):
-                continue
-            own = names.where(F.col("relativa").contains(service))
-            raw = read_with_contract(spark, root, own, raw_contract(service), whole_folders=False)
-            parts.append(normalise(raw, service, root))
-        if not parts:
-            return
-        rows = parts[0]
-        for part in parts[1:]:
-            rows = rows.unionByName(part)
+        raw = read_with_contracts(spark, root, names, raw_contracts(), whole_folders=False)
+        rows = normalise_all(raw, root)
         rows.write.mode("overwrite").partitionBy("tipo_taxi", "anio").parquet(f"{table}/lote={batch_id}")
         taken.extend(paths)
 
@@ -70,11 +59,6 @@ def ingest_arrivals(
     return len(taken)
 
 
-def below(path: str, root: str) -> str:
-    tail = root.rstrip("/").split(":", 1)[-1].lstrip("/") + "/"
-    return path.split(tail)[-1]
-
-
 def read_ingested(spark: SparkSession, table: str) -> DataFrame:
     """The table written by :func:`ingest_arrivals`."""
     ddl = ", ".join(f"{name} {kind}" for name, kind in VIAJES.items())
