@@ -35,22 +35,21 @@ def _with_total(per_service: DataFrame, *aggs: Column) -> DataFrame:
     return rolled.withColumn("tipo_taxi", label).drop("_todos")
 
 
-def cantidad_registros(rows: DataFrame) -> DataFrame:
+def cantidad_registros(counts: DataFrame) -> DataFrame:
     """Records per service and in total."""
     service = service_of(F.col("relativa"), UNKNOWN_SERVICE)
-    per_service = rows.groupBy(service.alias("tipo_taxi")).agg(F.count(F.lit(1)).alias("n"))
+    per_service = counts.groupBy(service.alias("tipo_taxi")).agg(F.sum("registros").alias("n"))
     return _with_total(per_service, F.sum("n").alias("cantidad_registros"))
 
 
-def registros_por_archivo(rows: DataFrame) -> DataFrame:
+def registros_por_archivo(counts: DataFrame) -> DataFrame:
     """Records per monthly file."""
     path = F.col("relativa")
-    per_path = rows.groupBy("relativa").agg(F.count(F.lit(1)).alias("n"))
     return (
-        per_path.groupBy(
+        counts.groupBy(
             service_of(path, UNKNOWN_SERVICE).alias("tipo_taxi"), monthly_file_of(path).alias("archivo")
         )
-        .agg(F.sum("n").alias("cantidad_registros"))
+        .agg(F.sum("registros").alias("cantidad_registros"))
         .orderBy("tipo_taxi", "archivo")
     )
 

@@ -34,19 +34,18 @@ def cobertura(files: DataFrame) -> DataFrame:
     return archivos_por_anio_tipo(files).drop("meses_distintos").orderBy("anio", "tipo_taxi")
 
 
-def _rows_per_year(rows: DataFrame, name: str) -> DataFrame:
+def _records_per_year(counts: DataFrame, name: str) -> DataFrame:
     """Records per file year and service; a path naming no known service counts as green."""
     path = F.col("relativa")
-    per_path = rows.groupBy("relativa").agg(F.count(F.lit(1)).alias("n"))
-    return per_path.groupBy(
+    return counts.groupBy(
         year_of(path).alias("anio"), service_of(path, "green").alias("tipo_taxi")
-    ).agg(F.sum("n").alias(name))
+    ).agg(F.sum("registros").alias(name))
 
 
-def registros_conjuntos(rows: DataFrame, years: Sequence[int]) -> DataFrame:
-    """Records per year and service with a ``total`` row per year, from one scan."""
-    counts = _rows_per_year(rows, "n").where(F.col("anio").isin(*years))
-    rolled = counts.rollup("anio", "tipo_taxi").agg(
+def registros_conjuntos(counts: DataFrame, years: Sequence[int]) -> DataFrame:
+    """Records per year and service with a ``total`` row per year, from one pass."""
+    yearly = _records_per_year(counts, "n").where(F.col("anio").isin(*years))
+    rolled = yearly.rollup("anio", "tipo_taxi").agg(
         F.grouping("anio").alias("_sin_anio"),
         F.grouping("tipo_taxi").alias("_sin_tipo"),
         F.sum("n").alias("registros"),
@@ -74,13 +73,13 @@ def comparacion_anual(trips: DataFrame, years: Sequence[int]) -> DataFrame:
     )
 
 
-def parquet_vs_tabla(rows: DataFrame, table: DataFrame, missing_as_zero: bool = False) -> DataFrame:
+def parquet_vs_tabla(counts: DataFrame, table: DataFrame, missing_as_zero: bool = False) -> DataFrame:
     """Records in files against records in the saved table.
 
     The difference is NULL where one side has no such year and service, or a number with
     ``missing_as_zero``.
     """
-    raw = _rows_per_year(rows, "registros_parquet")
+    raw = _records_per_year(counts, "registros_parquet")
     saved = table.groupBy("anio", "tipo_taxi").agg(F.count(F.lit(1)).alias("registros_tabla"))
     both = raw.join(saved, ["anio", "tipo_taxi"], "full")
     if missing_as_zero:

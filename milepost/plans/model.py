@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from milepost.functions.expressions import in_year, minutes_between
 from milepost.functions.labels import SERVICIOS
 from milepost.sources.drift import FILE_PATH
-from milepost.sources.inventory import below_root, month_of, year_of
+from milepost.sources.inventory import month_of_record, year_of_record
 
 # Columns and types of the raw files that the model uses.
 RAW_COMMON = {
@@ -70,19 +70,19 @@ def raw_contracts() -> dict[str, dict[str, str]]:
     return {service: raw_contract(service) for service in SERVICIOS}
 
 
-def normalise_all(raw: Mapping[str, DataFrame], root: str) -> DataFrame:
+def normalise_all(raw: Mapping[str, DataFrame]) -> DataFrame:
     """Both services, read with :func:`raw_contracts`, as one ``viajes`` relation."""
-    parts = [normalise(raw[service], service, root) for service in SERVICIOS if service in raw]
+    parts = [normalise(raw[service], service) for service in SERVICIOS if service in raw]
     return reduce(DataFrame.unionByName, parts)
 
 
-def normalise(raw: DataFrame, service: str, root: str) -> DataFrame:
+def normalise(raw: DataFrame, service: str) -> DataFrame:
     """Rows of one service, read with :func:`raw_contract`, as ``viajes`` rows."""
     pickup, dropoff = (F.col(c) for c in PICKUP_DROPOFF[service])
-    path = below_root(F.col(FILE_PATH), root)
-    # Partition columns, where the layout has them, let Spark skip whole folders.
-    year = F.col("anio").cast("int") if "anio" in raw.columns else year_of(path)
-    month = F.col("mes").cast("int") if "mes" in raw.columns else month_of(path)
+    # Partition columns where the layout has them, else the file name. A filter on either lets
+    # Spark skip files without opening them.
+    year = F.col("anio").cast("int") if "anio" in raw.columns else year_of_record(F.col(FILE_PATH))
+    month = F.col("mes").cast("int") if "mes" in raw.columns else month_of_record(F.col(FILE_PATH))
     return raw.select(
         year.alias("anio"),
         month.alias("mes"),

@@ -83,7 +83,7 @@ class FileTrips(TripSource):
     def _normalised(self) -> DataFrame:
         listing = inventory.list_files(self.spark, self.root)
         raw = read_with_contracts(self.spark, self.root, listing, raw_contracts())
-        return normalise_all(raw, self.root)
+        return normalise_all(raw)
 
     def trips(self, *columns: str) -> DataFrame:
         return self._normalised.select(*(columns or tuple(VIAJES)))
@@ -101,15 +101,9 @@ class FileTrips(TripSource):
             self.table = tables.write_trips(self.trips(), new_folder(self.spark, "viajes"))
         return tables.read_trips(self.spark, self.table)
 
-    def rows(self) -> DataFrame:
-        """One row per record with ``relativa`` only: no data column is read."""
-        raw = (
-            self.spark.read.schema("_sin_columnas int")
-            .option("recursiveFileLookup", "true")
-            .option("pathGlobFilter", "*.parquet")
-            .parquet(self.root)
-        )
-        return raw.select(inventory.below_root(F.col("_metadata.file_path"), self.root).alias("relativa"))
+    def record_counts(self) -> DataFrame:
+        """``relativa, registros`` of every file, from the footers."""
+        return inventory.record_counts(inventory.list_files(self.spark, self.root))
 
     def monthly_files(self) -> DataFrame:
         return inventory.monthly_files(self.spark, self.root)

@@ -65,9 +65,9 @@ def _year_files(source: TripSource) -> DataFrame:
     return files if year is None else files.where(F.col("anio") == year)
 
 
-def _year_rows(source: TripSource) -> DataFrame:
-    rows, year = source.files().rows(), source.settings.file_year
-    return rows if year is None else rows.where(year_of(F.col("relativa")) == year)
+def _year_counts(source: TripSource) -> DataFrame:
+    counts, year = source.files().record_counts(), source.settings.file_year
+    return counts if year is None else counts.where(year_of(F.col("relativa")) == year)
 
 
 def _year_footers(source: TripSource) -> DataFrame:
@@ -85,12 +85,12 @@ def _(s):
 
 @report("q02_cantidad_registros", "Records per service and in total")
 def _(s):
-    return explore.cantidad_registros(_year_rows(s))
+    return explore.cantidad_registros(_year_counts(s))
 
 
 @report("q03_registros_por_archivo", "Records per monthly file")
 def _(s):
-    return explore.registros_por_archivo(_year_rows(s))
+    return explore.registros_por_archivo(_year_counts(s))
 
 
 @report("q04_esquema_yellow", "Merged schema of the yellow files")
@@ -199,7 +199,7 @@ def _(s):
 
 @report("q17_registros_conjuntos", "Records of chosen years read together")
 def _(s):
-    return validate.registros_conjuntos(s.files().rows(), s.settings.years)
+    return validate.registros_conjuntos(s.files().record_counts(), s.settings.years)
 
 
 @report("q18_comparacion_anual", "Chosen years side by side")
@@ -350,7 +350,7 @@ def _(s):
 
 @report("q36_parquet_vs_tabla", "Records in files and in the saved table")
 def _(s):
-    return validate.parquet_vs_tabla(s.files().rows(), s.saved())
+    return validate.parquet_vs_tabla(s.files().record_counts(), s.saved())
 
 
 @report("q37_cambios_esquema", "Columns missing from some months")

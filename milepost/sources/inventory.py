@@ -62,6 +62,20 @@ def period_of(path: Column) -> Column:
     )
 
 
+def _named_by_month(path: Column) -> Column:
+    """The path ends in ``tripdata_YYYY-MM.parquet``."""
+    return (F.substring(path, -24, 9) == "tripdata_") & (F.substring(path, -11, 1) == "-") & path.endswith(".parquet")
+
+
+def year_of_record(path: Column) -> Column:
+    """:func:`year_of` for use on every record: fixed positions from the end, no pattern search."""
+    return F.when(_named_by_month(path), F.substring(path, -15, 4)).try_cast("int")
+
+
+def month_of_record(path: Column) -> Column:
+    return F.when(_named_by_month(path), F.substring(path, -10, 2)).try_cast("int")
+
+
 def monthly_file_of(path: Column) -> Column:
     """Name of the monthly file a physical file belongs to."""
     partitioned = F.concat(service_of(path, ""), F.lit("_tripdata_"), period_of(path), F.lit(".parquet"))
@@ -204,6 +218,21 @@ def _spark_type(arrow_type) -> str:
     return known.get(str(arrow_type), str(arrow_type))
 
 
+def record_counts(files: DataFrame) -> DataFrame:
+    """``relativa, registros``: the record count each file states in its footer. No record is read."""
+    import pyarrow.parquet as pq
+
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            counts = []
+            for path in batch["ruta"]:
+                with _open(path) as handle:
+                    counts.append(pq.read_metadata(handle).num_rows)
+            yield pd.DataFrame({"relativa": batch["relativa"], "registros": counts})
+
+    return files.select("ruta", "relativa").mapInPandas(read, "relativa string, registros bigint")
+
+
 def footers(files: DataFrame) -> DataFrame:
     """One row per file and column: ``ruta, relativa, posicion, columna, tipo``.
 

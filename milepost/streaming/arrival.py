@@ -45,7 +45,7 @@ def ingest_arrivals(
         # A footer takes milliseconds: a few dozen per task.
         names = names.repartition(1 + len(paths) // 32).withColumn("relativa", below_root(F.col("ruta"), root))
         raw = read_with_contracts(spark, root, names, raw_contracts(), whole_folders=False)
-        rows = normalise_all(raw, root)
+        rows = normalise_all(raw)
         rows.write.mode("overwrite").partitionBy("tipo_taxi", "anio").parquet(f"{table}/lote={batch_id}")
         taken.extend(paths)
 
