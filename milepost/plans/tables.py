@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from milepost.plans.model import PLAUSIBLE_COLUMNS, VIAJES, plausible
+from milepost.plans.workspace import new_folder
 
 PARTITIONS = ("tipo_taxi", "anio")
 
@@ -45,5 +46,31 @@ def publish_views(viajes: DataFrame, zonas: DataFrame | None = None, max_minutes
         zonas.createOrReplaceTempView("zonas")
 
 
+def publish_database(
+    spark: SparkSession, name: str, trips_path: str, zonas: DataFrame | None = None, max_minutes: float = 360
+) -> None:
+    """Catalog database over a saved table: ``viajes``, ``viajes_validos`` and ``zonas``.
+
+    Readers may ``USE`` it while a newer table is written elsewhere; publishing again points
+    the names to the newer one.
+    """
+    root = new_folder(spark, name)
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}` LOCATION '{root}'")
+    columns = ", ".join(f"{column} {kind}" for column, kind in VIAJES.items())
+    spark.sql(f"DROP TABLE IF EXISTS `{name}`.viajes")
+    spark.sql(
+        f"CREATE TABLE `{name}`.viajes ({columns}) USING parquet "
+        f"PARTITIONED BY ({', '.join(PARTITIONS)}) LOCATION '{trips_path}'"
+    )
+    spark.sql(f"MSCK REPAIR TABLE `{name}`.viajes")
+    spark.sql(
+        f"CREATE OR REPLACE VIEW `{name}`.viajes_validos AS SELECT * FROM `{name}`.viajes "
+        f"WHERE year(pickup_datetime) = anio AND duracion_min > 0 AND duracion_min <= {float(max_minutes)}D "
+        "AND trip_distance > 0 AND total_amount >= 0"
+    )
+    if zonas is not None:
+        zonas.write.mode("overwrite").saveAsTable(f"`{name}`.zonas")
+
+
 def with_plausible_columns(columns: Iterable[str]) -> list[str]:
     return list(dict.fromkeys([*columns, *PLAUSIBLE_COLUMNS]))

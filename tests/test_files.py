@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
 from pathlib import Path
 
 import pytest
 
 from milepost.operators import explore, validate
+from milepost.plans import tables
 from milepost.plans.model import VIAJES
 from milepost.plans.settings import Settings
 from milepost.plans.trip_source import FileTrips
@@ -124,6 +126,20 @@ def test_saved_table_agrees_with_files(source, spark):
     assert "PartitionFilters: [isnotnull(anio" in plan and "ReadSchema: struct<fare_amount:double>" in plan
 
 
+def test_published_names(source, spark):
+    source.saved()
+    tables.publish_views(source.trips(), source.zones())
+    assert spark.sql("SELECT count(*) FROM viajes_validos JOIN zonas ON zona_id = destino_id").first()[0] == 28
+    name = f"viajes_{uuid.uuid4().hex[:8]}"
+    for _ in range(2):  # publishing again replaces the names
+        tables.publish_database(spark, name, source.table, source.zones())
+    counts = spark.sql(f"SELECT anio, count(*) AS n FROM {name}.viajes_validos GROUP BY anio ORDER BY anio").collect()
+    assert [tuple(r) for r in counts] == [(2024, 7), (2025, 12), (2026, 9)]
+    assert spark.table(f"{name}.zonas").count() == 4
+    plan = spark.sql(f"SELECT fare_amount FROM {name}.viajes WHERE anio = 2025")._jdf.queryExecution().executedPlan()
+    assert "PartitionFilters: [isnotnull(anio" in plan.toString()
+
+
 def test_one_sided_groups(spark, source):
     table = source.saved().where("anio <> 2024")
     rows = {(r.anio, r.tipo_taxi): r for r in validate.parquet_vs_tabla(source.record_counts(), table).collect()}
