@@ -173,7 +173,11 @@ def destino_propina(valid: DataFrame, zones: DataFrame, min_trips: int = 10_000,
     per_zone = (
         _tipped_card(valid)
         .groupBy(F.col("destino_id").alias("zona_id"))
-        .agg(_trips_count(), exact_total(F.col("tip_amount")).alias("propina"), exact_total(F.col("fare_amount")).alias("tarifa"))
+        .agg(
+            _trips_count(),
+            exact_total(F.col("tip_amount")).alias("propina"),
+            exact_total(F.col("fare_amount")).alias("tarifa"),
+        )
     )
     label = F.concat("zona", F.lit(" ("), "barrio", F.lit(")"))
     known = zones.where(~F.col("zona").isin(*labels.ZONAS_EXCLUIDAS)).select("zona_id", label.alias("destino"))
