@@ -1,0 +1,62 @@
+"""Sharding: balance, slots, ring order and movement."""
+
+from __future__ import annotations
+
+import zlib
+from collections import defaultdict
+
+from milepost.llm.sharding import ARC_BITS, ARCS, _place, ring, shard_documents, walk
+
+SCHEMA = "doc_id long, text string, shard string, slot string"
+
+
+def plain_walk(loads, shards, nodes, slack):
+    """Each arc in clockwise order tries the points after it one by one."""
+    points, held, owner = ring(shards, nodes), [0] * shards, {}
+    bound = -(-sum(loads.values()) // shards) + int(sum(loads.values()) * slack / shards)
+    for arc in range(ARCS):
+        if not loads.get(arc):
+            continue
+        after = [s for p, s in points if p >> (60 - ARC_BITS) >= arc] + [s for _, s in points]
+        fit = [s for s in after if held[s] + loads[arc] <= bound]
+        owner[arc] = fit[0] if fit else min(range(shards), key=lambda s: (held[s], s))
+        held[owner[arc]] += loads[arc]
+    return owner
+
+
+def test_walk_against_a_plain_one():
+    loads = {arc: arc * 37 % 101 + 1 for arc in range(0, ARCS, 97)}
+    owner = walk(loads, 5, 16, 0.01)
+    plain = plain_walk(loads, 5, 16, 0.01)
+    assert all(owner[a] == s for a, s in plain.items())
+
+
+def test_another_shard_moves_few_keys():
+    loads = dict.fromkeys(range(0, ARCS, 3), 10)
+    before, after = walk(loads, 24), walk(loads, 25)
+    moved = sum(before[a] != after[a] for a in loads) / len(loads)
+    assert moved < 0.2
+
+
+def test_documents(spark):
+    rows = [(i, None if i % 50 == 0 else "é" * (i % 90), "clash", "x") for i in range(3000)]
+    got = shard_documents(spark.createDataFrame(rows, SCHEMA).repartition(5)).collect()
+    texts = {d: t or "" for d, t, *_ in rows}
+    held, slots = defaultdict(int), defaultdict(list)
+    for r in got:
+        raw = texts[r.doc_id].encode()
+        assert (r.size, r.text_crc32, r.law, r.grown_shard) == (len(raw) + 8, zlib.crc32(raw), "bytes", None)
+        held[r.shard] += r.size
+        slots[r.shard].append(r.slot)
+    mean = sum(held.values()) / 24
+    assert len(held) == 24 and max(held.values()) - min(held.values()) < 0.1 * mean
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+
+
+def test_repeats_nulls_long_texts_and_empty_table(spark):
+    rows = [(1, "a", "", "")] * 5 + [(None, "b", "", "")] * 3 + [(2, "x" * 1_000_000, "", "")]
+    got = shard_documents(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert len({(r.shard, r.slot) for r in got}) == 9
+    assert len({r.shard for r in got if r.doc_id == 1}) == 1
+    assert shard_documents(spark.createDataFrame([], SCHEMA)).collect() == []
+    assert "md5" in str(_place(spark.createDataFrame(rows, SCHEMA).doc_id))
