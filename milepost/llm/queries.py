@@ -5,14 +5,32 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from milepost.llm.common import table
 from milepost.llm.exact_dedup import exact_duplicates
+from milepost.llm.line_dedup import dedup_lines
 from milepost.llm.mixing import MIX_SQL, mix
+from milepost.llm.quality import QUALITY_SQL, quality
 from milepost.llm.sharding import shard_documents
 from milepost.llm.simhash import near_duplicates
 
 
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality(table(spark, sf_dir, "documents")).drop("class_distance", "word_distance")
+
+
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = F.col("text")
+    return dedup_lines(table(spark, sf_dir, "documents")).select(
+        "doc_id",
+        "n_exact_lines",
+        "n_near_lines",
+        F.octet_length(text).cast("long").alias("n_bytes"),
+        F.sha2(text.cast("binary"), 256).alias("text_sha256"),
+    )
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents"))
 
@@ -30,10 +48,11 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op6_mixing, op7_sharding, op8_exact_dedup, op10_simhash_near_dedup)
+    f.__name__: f for f in (op4_quality_rules, op5_line_dedup, op6_mixing, op7_sharding, op8_exact_dedup, op10_simhash_near_dedup)
 }
 
 ORACLE: dict[str, str] = {
+    "op4_quality_rules": QUALITY_SQL,
     "op6_mixing": "SELECT doc_id, size, source_size, target, taken FROM ("
     + MIX_SQL.format(documents="documents")
     + ")",
