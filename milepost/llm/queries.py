@@ -7,15 +7,32 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from milepost.llm.chat import CHAT_SQL, perspectives
 from milepost.llm.common import table
 from milepost.llm.exact_dedup import exact_duplicates
 from milepost.llm.line_dedup import dedup_lines
 from milepost.llm.mixing import MIX_SQL, mix
 from milepost.llm.quality import QUALITY_SQL, quality
+from milepost.llm.sentencepiece import decode, encode
 from milepost.llm.sharding import shard_documents
 from milepost.llm.simhash import near_duplicates
 
 
+def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return decode(encode(docs)).select(
+        "doc_id",
+        "n_ids",
+        F.crc32(F.array_join("ids", " ").cast("binary")).alias("ids_crc32"),
+        F.col("decoded").eqNullSafe(F.col("text")).alias("round_trip"),
+    )
+
+
+def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spans = F.transform("mask", lambda s: F.concat_ws("-", s.start, s.end))
+    return perspectives(table(spark, sf_dir, "conversations")).withColumn("mask", F.array_join(spans, ","))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(table(spark, sf_dir, "documents")).drop("class_distance", "word_distance")
 
@@ -48,10 +65,11 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op4_quality_rules, op5_line_dedup, op6_mixing, op7_sharding, op8_exact_dedup, op10_simhash_near_dedup)
+    f.__name__: f for f in (op2_sentencepiece, op3_chat_formatting, op4_quality_rules, op5_line_dedup, op6_mixing, op7_sharding, op8_exact_dedup, op10_simhash_near_dedup)
 }
 
 ORACLE: dict[str, str] = {
+    "op3_chat_formatting": CHAT_SQL,
     "op4_quality_rules": QUALITY_SQL,
     "op6_mixing": "SELECT doc_id, size, source_size, target, taken FROM ("
     + MIX_SQL.format(documents="documents")
