@@ -16,6 +16,7 @@ from milepost.llm.quality import QUALITY_SQL, quality
 from milepost.llm.sentencepiece import decode, encode
 from milepost.llm.sharding import shard_documents
 from milepost.llm.simhash import near_duplicates
+from milepost.llm.toxicity import toxicity
 
 
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,12 +61,16 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_sentencepiece, op3_chat_formatting, op4_quality_rules, op5_line_dedup, op6_mixing, op7_sharding, op8_exact_dedup, op10_simhash_near_dedup)
+    f.__name__: f for f in (op2_sentencepiece, op3_chat_formatting, op4_quality_rules, op5_line_dedup, op6_mixing, op7_sharding, op8_exact_dedup, op9_toxicity, op10_simhash_near_dedup)
 }
 
 ORACLE: dict[str, str] = {
