@@ -16,9 +16,14 @@ from milepost.llm.quality import QUALITY_SQL, quality
 from milepost.llm.sentencepiece import decode, encode
 from milepost.llm.sharding import shard_documents
 from milepost.llm.simhash import near_duplicates
+from milepost.llm.suffix_dedup import remove_repeats
 from milepost.llm.toxicity import toxicity
 
 
+def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return decode(encode(docs)).select(
@@ -70,7 +75,19 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_sentencepiece, op3_chat_formatting, op4_quality_rules, op5_line_dedup, op6_mixing, op7_sharding, op8_exact_dedup, op9_toxicity, op10_simhash_near_dedup)
+    f.__name__: f
+    for f in (
+        op1_suffix_array_dedup,
+        op2_sentencepiece,
+        op3_chat_formatting,
+        op4_quality_rules,
+        op5_line_dedup,
+        op6_mixing,
+        op7_sharding,
+        op8_exact_dedup,
+        op9_toxicity,
+        op10_simhash_near_dedup,
+    )
 }
 
 ORACLE: dict[str, str] = {
