@@ -55,27 +55,11 @@ def _running(hist: DataFrame) -> DataFrame:
     return hist.withColumn("before", F.coalesce(F.sum("bucket_size").over(order), F.lit(0)))
 
 
-def mix(docs: DataFrame, weights: Sequence[float] = (1, 2, 3), most: float = 3.0) -> DataFrame:
-    """One row per document: ``doc_id, size, source_size, target, taken``.
+def limits(sized: DataFrame, weights: Sequence[float], most: float) -> DataFrame:
+    """Per source (column ``of``) its ``source_size, target, times`` and ``last``, the threshold's place.
 
-    ``size`` counts words (null: 0). Of every source the mix takes each document as many whole
-    times as fits its target, and once more the documents whose hash lies below the source's
-    threshold, so that the source's sum comes as near to its target as one document allows.
-    Sums per source and hash bucket show which bucket a threshold lies in; only documents of
-    that bucket are summed again by the next bits, and at last by the whole hash. Nothing is
-    sorted but histograms. Documents with one ``doc_id`` (null is one) have one hash and stand
-    or fall together. Sources may be null; an empty table gives no rows. Other columns are
-    ignored. The hash depends on ``doc_id`` alone, so reruns agree.
+    ``sized`` has ``source, size, place`` per document and is read once per histogram level.
     """
-    sized = saved(
-        docs.select(
-            F.col("doc_id").cast("long").alias("doc_id"),
-            F.col("source").cast("string").alias("source"),
-            count_words(F.col("text").cast("string")).alias("size"),
-            _place(F.col("doc_id")).alias("place"),
-        ),
-        "sized",
-    )
     size = F.col("source_size")
     times = F.when(size > 0, F.floor(F.col("target") / size)).otherwise(0).cast("long")
     totals = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
@@ -124,7 +108,7 @@ def mix(docs: DataFrame, weights: Sequence[float] = (1, 2, 3), most: float = 3.0
         .agg(F.max("bucket").alias("last"))
         .select(F.col("source").alias("of"), "last")
     )
-    limits = saved(
+    return saved(
         state.join(last, F.col("source").eqNullSafe(F.col("of")), "left").select(
             F.col("source").alias("of"),
             "source_size",
@@ -134,12 +118,50 @@ def mix(docs: DataFrame, weights: Sequence[float] = (1, 2, 3), most: float = 3.0
         ),
         "mix_limits",
     )
-    once_more = (F.col("place") <= F.col("last")).cast("long")
-    return sized.join(limits, F.col("source").eqNullSafe(F.col("of"))).select(
-        "doc_id", "size", "source_size", "target", (F.col("size") * (F.col("times") + once_more)).alias("taken")
+
+
+def _sized(docs: DataFrame) -> DataFrame:
+    return docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"),
+        F.col("source").cast("string").alias("source"),
+        count_words(F.col("text").cast("string")).alias("size"),
+        _place(F.col("doc_id")).alias("place"),
     )
 
 
+def _times() -> Column:
+    return F.col("times") + (F.col("place") <= F.col("last")).cast("long")
+
+
+def mix(docs: DataFrame, weights: Sequence[float] = (1, 2, 3), most: float = 3.0) -> DataFrame:
+    """One row per document: ``doc_id, size, source_size, target, taken``.
+
+    ``size`` counts words (null: 0). Of every source the mix takes each document as many whole
+    times as fits its target, and once more the documents whose hash lies below the source's
+    threshold, so that the source's sum comes as near to its target as one document allows.
+    Sums per source and hash bucket show which bucket a threshold lies in; only documents of
+    that bucket are summed again by the next bits, and at last by the whole hash. Nothing is
+    sorted but histograms. Documents with one ``doc_id`` (null is one) have one hash and stand
+    or fall together. Sources may be null; an empty table gives no rows. Other columns are
+    ignored. The hash depends on ``doc_id`` alone, so reruns agree.
+    """
+    sized = saved(_sized(docs), "sized")
+    found = limits(sized, weights, most)
+    return sized.join(found, F.col("source").eqNullSafe(F.col("of"))).select(
+        "doc_id", "size", "source_size", "target", (F.col("size") * _times()).alias("taken")
+    )
+
+
+def mixture(docs: DataFrame, weights: Sequence[float] = (1, 2, 3), most: float = 3.0) -> DataFrame:
+    """The documents as often as :func:`mix` takes them, none to ``most`` times; same columns."""
+    found = limits(saved(_sized(docs), "sized"), weights, most)
+    own = F.col("source").cast("string").eqNullSafe(F.col("of"))
+    # The row's own columns travel as one, so that names of the limits cannot clash with them.
+    rows = docs.select(F.struct(*docs.columns).alias("doc"), "source", _place(F.col("doc_id")).alias("place"))
+    taken = rows.join(found, own).select(F.explode(F.array_repeat("doc", _times().cast("int"))).alias("doc"))
+    return taken.select("doc.*")
+
+
 MIX_SQL = r"""
 WITH sized AS (
   SELECT doc_id, source, size,
