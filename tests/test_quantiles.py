@@ -34,10 +34,10 @@ def groups(seed=11, n=12_000):
     return rows
 
 
-# accuracy 100 keeps groups up to 400 values whole, so "hot" goes through its brackets.
-@pytest.mark.parametrize("accuracy", [100, 10_000])
-@pytest.mark.parametrize("max_groups", [1, 100])
-def test_matches_a_sorted_list(spark, accuracy, max_groups):
+# At accuracy 10,000 no group is large enough for closed brackets; at 100 "hot" and "warm" have them.
+@pytest.mark.parametrize("accuracy", [100, 1_000, 10_000])
+@pytest.mark.parametrize("bounded", [True, False])
+def test_matches_a_sorted_list(spark, accuracy, bounded):
     rows = groups()
     df = spark.createDataFrame(rows, "k string, x double, y double").repartition(6)
     table = grouped_quantiles(
@@ -47,7 +47,7 @@ def test_matches_a_sorted_list(spark, accuracy, max_groups):
         PROBS,
         aggs=[F.count(F.lit(1)).alias("n")],
         accuracy=accuracy,
-        max_groups=max_groups,
+        bounded_keys=bounded,
     )
     found = {r.k: r for r in table.collect()}
     assert set(found) == {"hot", "warm", "one", None}
@@ -68,10 +68,37 @@ def test_bracketed_group_keeps_few_rows(spark):
     values = [r.x for r in df.collect()]
     assert table.first().m == interpolated(values, 0.5)
     plan = table._jdf.queryExecution().executedPlan().toString()
-    assert "percentile_approx" not in plan  # the sketch pass is a broadcast local table by now
     assert "BroadcastHashJoin" in plan and "CartesianProduct" not in plan
 
 
+def jobs_of(spark, group):
+    return list(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+
+def test_building_starts_no_job(spark):
+    """Neither a size probe nor a sketch runs before the report is asked for rows."""
+    df = spark.range(1_000).select((F.col("id") % 3).alias("k"), F.col("id").cast("double").alias("x"))
+    spark.sparkContext.setJobGroup("quantile-build", "build only")
+    try:
+        table = grouped_medians(df, ["k"], {"m": F.col("x")})
+        assert jobs_of(spark, "quantile-build") == []
+        table.collect()
+        assert jobs_of(spark, "quantile-build") != []
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_ranks_of_one_hot_group_are_counted_by_bins(spark):
+    """No window orders a whole bracket: the values in order are those of the bins that hold a rank."""
+    df = spark.range(0, 200_000, 1, 8).select(F.lit("hot").alias("k"), F.rand(3).alias("x"))
+    table = grouped_medians(df, ["k"], {"m": F.col("x")}, accuracy=100)
+    values = [r.x for r in df.collect()]
+    assert table.first().m == interpolated(values, 0.5)
+    plan = table._jdf.queryExecution().executedPlan().toString()
+    ordered = [line for line in plan.splitlines() if "Window [" in line]
+    assert ordered and all("bin" in line for line in ordered)
+
+
 def test_heavy_ties_and_constant_groups(spark):
     df = spark.range(20_000).select(
         (F.col("id") % 2).alias("k"), F.when(F.col("id") % 10 == 0, F.lit(1.0)).otherwise(2.0).alias("x")
