@@ -11,6 +11,7 @@ from milepost.plans.workspace import new_folder
 
 #: A word is a run of anything but these six white-space characters.
 WORD = r"[^\x20\x09-\x0D]+"
+WHITE = " \t\n\x0b\x0c\r"
 SPACE = r"[\x20\x09-\x0D]+"
 
 
@@ -40,7 +41,8 @@ def let(value: Column, body) -> Column:
 
 def words(text: Column) -> Column:
     """The words of a text in order; none for null."""
-    return F.filter(F.split(F.coalesce(text, F.lit("")), SPACE), lambda w: w != "")
+    trimmed = F.btrim(F.coalesce(text, F.lit("")), F.lit(WHITE))
+    return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, SPACE))
 
 
 def count_words(text: Column) -> Column:

@@ -90,7 +90,7 @@ def _term(p: Column, q: Column) -> Column:
 
 
 def _distance(total: Column) -> Column:
-    return F.sqrt(F.greatest(total / 2, F.lit(0.0)))
+    return F.when(total.isNotNull(), F.sqrt(F.greatest(total / 2, F.lit(0.0))))
 
 
 def _lower_words(docs: DataFrame) -> DataFrame:
@@ -105,13 +105,13 @@ def _lower_words(docs: DataFrame) -> DataFrame:
 
 
 def common_words(docs: DataFrame, n: int) -> DataFrame:
-    """``lang, word, share``: the ``n`` most frequent words of each language and their share of its words."""
+    """``word_no, lang, word, share``: the ``n`` most frequent words of each language, their share of its words."""
     counts = _lower_words(docs).groupBy("lang", "word").agg(F.count("*").alias("c"))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.col("c").desc(), "word"))
     total = counts.groupBy(F.col("lang").alias("of")).agg(F.sum("c").alias("total"))
     ranked = counts.withColumn("rank", rank).where(F.col("rank") <= n)
     return ranked.join(total, F.col("lang").eqNullSafe(F.col("of"))).select(
-        "lang", "word", (F.col("c") / F.col("total")).alias("share")
+        F.monotonically_increasing_id().alias("word_no"), "lang", "word", (F.col("c") / F.col("total")).alias("share")
     )
 
 
@@ -147,12 +147,13 @@ def quality(
     shape = sum((_term(F.col(c) / F.col("chars"), F.col(f"ref_{c}") / F.col("ref_chars")) for c in HISTOGRAM), F.lit(0.0))
 
     # Common words that a document lacks add their share; their sum is the language's total.
-    known = frequent.select(F.col("lang").alias("of"), F.col("word").alias("common"), "share")
+    known = frequent.select(F.col("lang").alias("of"), F.col("word").alias("common"), "word_no")
     counted = (
         _lower_words(docs)
         .join(known, F.col("lang").eqNullSafe(F.col("of")) & (F.col("word") == F.col("common")))
-        .groupBy("doc_id", "text_key", "lang", "word", "share")
+        .groupBy("doc_id", "text_key", "word_no")
         .agg(F.count("*").alias("c"))
+        .join(frequent.select("word_no", "lang", "share"), "word_no")
     )
     copies = rows.groupBy("doc_id", "text_key", "lang").agg(
         F.count("*").alias("copies"), F.first("n_words").alias("n")
