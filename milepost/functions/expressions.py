@@ -69,19 +69,38 @@ def in_year(ts: Column, year: Column) -> Column:
 
 
 def exact_total(value: Column) -> Column:
-    """Sum of amounts with up to six decimals, as ``decimal(29,6)``.
+    """Sum of amounts with up to six decimals, as ``struct<exacto decimal, resto double>``.
 
     A sum of doubles changes in its last digits with the order tasks finish in, which flips
     rounded values that lie on a tie. Whole units and millionths are summed as two integers:
-    exact, in any order, and without a decimal object per row.
+    exact, in any order, and without a decimal object per row. Values that are not numbers or
+    from 1e12 up are summed apart as doubles. :func:`total_of` and :func:`sum_of_totals` read it.
     """
-    whole = F.floor(value)
-    millionths = F.rint((value - whole) * F.lit(1e6)).cast("long")
-    return F.sum(whole).cast("decimal(20,0)") + F.sum(millionths).cast("decimal(20,0)") * F.lit(Decimal("0.000001"))
+    usual = F.abs(value) < F.lit(1e12)
+    amount = F.when(usual, value)
+    whole = F.floor(amount)
+    millionths = F.rint((amount - whole) * F.lit(1e6)).cast("long")
+    exact = F.sum(whole).cast("decimal(20,0)") + F.sum(millionths).cast("decimal(20,0)") * F.lit(Decimal("0.000001"))
+    return F.struct(exact.alias("exacto"), F.sum(F.when(~usual, value)).alias("resto"))
+
+
+def _joined(exact: Column, rest: Column) -> Column:
+    number = exact.cast("double")
+    return F.when(rest.isNull(), number).otherwise(F.coalesce(number, F.lit(0.0)) + rest)
+
+
+def total_of(total: Column) -> Column:
+    """The sum held by an :func:`exact_total`."""
+    return _joined(total["exacto"], total["resto"])
+
+
+def sum_of_totals(name: str) -> Column:
+    """The sum of a column of :func:`exact_total` values, as an aggregate."""
+    return _joined(F.sum(F.col(name)["exacto"]), F.sum(F.col(name)["resto"]))
 
 
 def exact_sum(value: Column) -> Column:
-    return exact_total(value).cast("double")
+    return total_of(exact_total(value))
 
 
 def exact_avg(value: Column) -> Column:

@@ -22,6 +22,7 @@ from milepost.functions.expressions import (
     percent_of_rows,
     percent_within,
     rounded,
+    sum_of_totals,
     top_per_group,
 )
 from milepost.functions.quantiles import grouped_medians, grouped_quantiles
@@ -44,13 +45,13 @@ def evolucion_mensual(trips: DataFrame, period: Period) -> DataFrame:
     )
     return (
         daily.groupBy("tipo_taxi", F.month("dia").alias("mes"))
-        .agg(F.sum("n").alias("viajes"), F.count(F.lit(1)).alias("dias"), F.sum("monto").alias("monto"))
+        .agg(F.sum("n").alias("viajes"), F.count(F.lit(1)).alias("dias"), sum_of_totals("monto").alias("monto"))
         .select(
             "tipo_taxi",
             "mes",
             "viajes",
             rounded(F.col("viajes") / F.col("dias"), 1).alias("viajes_por_dia"),
-            rounded(F.col("monto").cast("double")).alias("monto_total"),
+            rounded(F.col("monto")).alias("monto_total"),
         )
         .orderBy("mes", "tipo_taxi")
     )

@@ -16,6 +16,7 @@ from milepost.functions.expressions import (
 )
 from milepost.functions.quantiles import grouped_medians
 from milepost.plans.model import plausible
+from milepost.sources.inventory import month_of, period_of, service_of, year_of
 
 LAST_MONTH = 8
 
@@ -142,8 +143,26 @@ def indice_base(
     return table.withColumn(name, rounded(percent(F.col(measure), base), 1))
 
 
+def viajes_por_dia(trips: DataFrame, max_minutes: float, last_month: int = LAST_MONTH) -> DataFrame:
+    """Trips of the year per active day, of groups with a plausible trip: counts only."""
+    daily = (
+        trips.where((F.col("mes") <= last_month) & in_year(F.col("pickup_datetime"), F.col("anio")))
+        .groupBy("anio", "tipo_taxi", F.to_date("pickup_datetime").alias("dia"))
+        .agg(F.count(F.lit(1)).alias("n"), F.count_if(plausible(max_minutes)).alias("validos"))
+    )
+    return (
+        daily.groupBy("anio", "tipo_taxi")
+        .agg(F.sum("n").alias("viajes"), F.count(F.lit(1)).alias("dias"), F.sum("validos").alias("validos"))
+        .where("validos > 0")
+        .select("anio", "tipo_taxi", rounded(F.col("viajes") / F.col("dias"), 0).alias("viajes_por_dia"))
+    )
+
+
 def vigilancia_registros(trips: DataFrame) -> DataFrame:
-    """Monthly shares of unmetered and unknown-rate records, and their change on the month before."""
+    """Monthly shares of unmetered and unknown-rate records, and their change on the calendar month before.
+
+    The change is NULL where that month has no records.
+    """
     unknown = F.col("ratecode_id").isNull() | (F.col("ratecode_id") == 99)
     monthly = trips.groupBy(
         "tipo_taxi", month_start(F.col("anio"), F.col("mes")).alias("fecha")
@@ -153,8 +172,48 @@ def vigilancia_registros(trips: DataFrame) -> DataFrame:
         rounded(percent_of_rows(unknown)).alias("pct_tarifa_desconocida"),
     )
     window = Window.partitionBy("tipo_taxi").orderBy("fecha")
+    follows = F.lag("fecha").over(window) == F.add_months("fecha", -1)
     changes = {
-        f"cambio_{c}": rounded(F.col(c) - F.lag(c).over(window))
+        f"cambio_{c}": rounded(F.when(follows, F.col(c) - F.lag(c).over(window)))
         for c in ("pct_sin_taximetro", "pct_tarifa_desconocida")
     }
     return monthly.withColumns(changes).orderBy("tipo_taxi", "fecha")
+
+
+def vigilancia_diferencias(counts: DataFrame, table: DataFrame) -> DataFrame:
+    """Records per service and month in the files and in the saved table; a missing side counts as 0."""
+    path = F.col("relativa")
+    files = counts.groupBy(
+        service_of(path, "").alias("tipo_taxi"), month_start(year_of(path), month_of(path)).alias("fecha")
+    ).agg(F.sum("registros").alias("registros_archivos"))
+    saved = table.groupBy("tipo_taxi", month_start(F.col("anio"), F.col("mes")).alias("fecha")).agg(
+        F.count(F.lit(1)).alias("registros_tabla")
+    )
+    both = files.join(saved, ["tipo_taxi", "fecha"], "full").fillna(0, ["registros_archivos", "registros_tabla"])
+    difference = F.col("registros_archivos") - F.col("registros_tabla")
+    return both.withColumn("diferencia", difference).orderBy("tipo_taxi", "fecha")
+
+
+# What can happen to a column.
+APARECE, DESAPARECE = "aparece", "desaparece"
+
+
+def vigilancia_columnas(footers: DataFrame) -> DataFrame:
+    """Columns that a service's month has and the month before (of those present) has not, or the reverse."""
+    path = F.col("relativa")
+    seen = footers.select(
+        service_of(path, "").alias("tipo_taxi"), period_of(path).alias("periodo"), F.lower("columna").alias("columna")
+    ).distinct()
+    by_month = Window.partitionBy("tipo_taxi").orderBy("periodo")
+    months = seen.groupBy("tipo_taxi", "periodo").agg(F.collect_set("columna").alias("hay"))
+    months = months.withColumn("habia", F.lag("hay").over(by_month)).where("habia IS NOT NULL")
+
+    def changed(here: str, there: str, event: str) -> Column:
+        return F.transform(F.array_except(here, there), lambda c: F.struct(c.alias("columna"), F.lit(event).alias("cambio")))
+
+    changes = changed("hay", "habia", APARECE), changed("habia", "hay", DESAPARECE)
+    return (
+        months.select("tipo_taxi", "periodo", F.explode(F.concat(*changes)).alias("x"))
+        .select("tipo_taxi", "periodo", "x.columna", "x.cambio")
+        .orderBy("tipo_taxi", "periodo", "columna")
+    )

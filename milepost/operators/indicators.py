@@ -20,6 +20,7 @@ from milepost.functions.expressions import (
     percent_of_rows,
     percent_within,
     rounded,
+    sum_of_totals,
 )
 from milepost.functions.quantiles import grouped_medians
 
@@ -184,15 +185,17 @@ def destino_propina(valid: DataFrame, zones: DataFrame, min_trips: int = 10_000,
     per_label = (
         per_zone.join(known, "zona_id")
         .groupBy("destino")
-        .agg(F.sum("viajes").alias("viajes"), F.sum("propina").alias("propina"), F.sum("tarifa").alias("tarifa"))
+        .agg(
+            F.sum("viajes").alias("viajes"),
+            sum_of_totals("propina").alias("propina"),
+            sum_of_totals("tarifa").alias("tarifa"),
+        )
         .where(F.col("viajes") >= min_trips)
         .select(
             "destino",
             "viajes",
-            rounded(F.col("propina").cast("double") / F.col("viajes")).alias("propina_media"),
-            rounded(percent(F.col("propina").cast("double"), F.col("tarifa").cast("double"))).alias(
-                "propina_pct_tarifa"
-            ),
+            rounded(F.col("propina") / F.col("viajes")).alias("propina_media"),
+            rounded(percent(F.col("propina"), F.col("tarifa"))).alias("propina_pct_tarifa"),
         )
     )
     share = F.col("propina_pct_tarifa")

@@ -13,16 +13,16 @@ def pivotar(df: DataFrame, index: str, column: str, value: str, values: Sequence
     return df.groupBy(index).pivot(column, list(values)).agg(F.first(value, ignorenulls=True)).orderBy(index)
 
 
-def completar_meses(df: DataFrame, date: str, keys: Sequence[str]) -> DataFrame:
-    """One row per month between the first and last of ``df`` and per key; gaps stay NULL."""
-    edges = df.agg(F.min(date).alias("desde"), F.max(date).alias("hasta"))
-    months = edges.select(F.explode(F.sequence("desde", "hasta", F.expr("interval 1 month"))).alias(date))
-    groups = df.select(*keys).distinct()
-    # One array of months per key instead of a product of two tables.
-    calendar = groups.select(
-        *keys,
-        F.explode(months.select(F.sort_array(F.collect_list(date))).scalar()).alias(date),
-    )
+def completar_meses(df: DataFrame, date: str, keys: Sequence[str], known: DataFrame | None = None) -> DataFrame:
+    """One row per month between the first and last of ``df`` and per key; gaps stay NULL.
+
+    ``known`` may give the months and keys of ``df`` in a cheaper way than computing ``df``.
+    """
+    listed = (df if known is None else known).groupBy(*keys).agg(F.min(date).alias("desde"), F.max(date).alias("hasta"))
+    every = Window.partitionBy(F.lit(0))
+    # One row per key: its months are a sequence between the edges over all keys.
+    months = F.sequence(F.min("desde").over(every), F.max("hasta").over(every), F.expr("interval 1 month"))
+    calendar = listed.select(*keys, months.alias("meses")).select(*keys, F.explode("meses").alias(date))
     others = [c for c in df.columns if c not in {date, *keys}]
     return calendar.join(df, [*keys, date], "left").select(date, *keys, *others).orderBy(date, *keys)
 

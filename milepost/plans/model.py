@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from milepost.functions.expressions import in_year, minutes_between
+from milepost.functions.expressions import minutes_between
 from milepost.functions.labels import SERVICIOS
 from milepost.sources.drift import FILE_PATH
 from milepost.sources.inventory import month_of_record, year_of_record
@@ -104,12 +104,14 @@ def normalise(raw: DataFrame, service: str) -> DataFrame:
     )
 
 
-def plausible(max_minutes: float = MAX_MINUTES) -> Column:
-    """A trip inside its file's year, of positive length, with a duration up to the cap."""
+def plausible_sql(max_minutes: float = MAX_MINUTES) -> str:
+    """The plausibility rule as SQL text, for columns and for catalog views."""
     return (
-        in_year(F.col("pickup_datetime"), F.col("anio"))
-        & (F.col("duracion_min") > 0)
-        & (F.col("duracion_min") <= F.lit(float(max_minutes)))
-        & (F.col("trip_distance") > 0)
-        & (F.col("total_amount") >= 0)
+        f"year(pickup_datetime) = anio AND duracion_min > 0 AND duracion_min <= {float(max_minutes)}D "
+        "AND trip_distance > 0 AND total_amount >= 0"
     )
+
+
+def plausible(max_minutes: float = MAX_MINUTES) -> Column:
+    """A trip inside its file's year, of positive length, with a duration up to the cap."""
+    return F.expr(plausible_sql(max_minutes))

@@ -7,7 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from milepost.plans.model import PLAUSIBLE_COLUMNS, VIAJES, plausible
+from milepost.plans.model import PLAUSIBLE_COLUMNS, VIAJES, plausible, plausible_sql
 from milepost.plans.workspace import new_folder
 
 PARTITIONS = ("tipo_taxi", "anio")
@@ -56,20 +56,17 @@ def publish_database(
     """
     root = new_folder(spark, name)
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}` LOCATION '{root}'")
-    columns = ", ".join(f"{column} {kind}" for column, kind in VIAJES.items())
-    spark.sql(f"DROP TABLE IF EXISTS `{name}`.viajes")
-    spark.sql(
-        f"CREATE TABLE `{name}`.viajes ({columns}) USING parquet "
-        f"PARTITIONED BY ({', '.join(PARTITIONS)}) LOCATION '{trips_path}'"
-    )
-    spark.sql(f"MSCK REPAIR TABLE `{name}`.viajes")
+    columns = ", ".join(f"CAST({column} AS {kind}) AS {column}" for column, kind in VIAJES.items())
+    # Views are replaced in one step: a reader finds the older table or the newer one.
+    spark.sql(f"CREATE OR REPLACE VIEW `{name}`.viajes AS SELECT {columns} FROM parquet.`{trips_path}`")
     spark.sql(
         f"CREATE OR REPLACE VIEW `{name}`.viajes_validos AS SELECT * FROM `{name}`.viajes "
-        f"WHERE year(pickup_datetime) = anio AND duracion_min > 0 AND duracion_min <= {float(max_minutes)}D "
-        "AND trip_distance > 0 AND total_amount >= 0"
+        f"WHERE {plausible_sql(max_minutes)}"
     )
     if zonas is not None:
-        zonas.write.mode("overwrite").saveAsTable(f"`{name}`.zonas")
+        folder = new_folder(spark, "zonas")
+        zonas.write.parquet(folder)
+        spark.sql(f"CREATE OR REPLACE VIEW `{name}`.zonas AS SELECT * FROM parquet.`{folder}`")
 
 
 def with_plausible_columns(columns: Iterable[str]) -> list[str]:

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from milepost.functions.expressions import Period, minutes_between
@@ -32,7 +32,8 @@ class TripSource:
     max_minutes: float = MAX_MINUTES
     settings: Settings = Settings()
 
-    def trips(self, *columns: str) -> DataFrame:
+    def trips(self, *columns: str, raw: bool = False) -> DataFrame:
+        """All trips: from the saved table if there is one, else, or with ``raw``, from the source itself."""
         raise NotImplementedError
 
     def zones(self) -> DataFrame:
@@ -42,6 +43,22 @@ class TripSource:
         """The monthly files behind this source."""
         raise NotImplementedError
 
+    def monthly_files(self) -> DataFrame:
+        """One row per monthly file: ``tipo_taxi, anio, mes, archivo, partes, bytes``."""
+        raise NotImplementedError
+
+    def record_counts(self) -> DataFrame:
+        """``relativa, registros`` of every monthly file."""
+        raise NotImplementedError
+
+    def file_status(self) -> DataFrame:
+        """``tipo_taxi, anio, mes, archivo, valido`` of every monthly file."""
+        raise NotImplementedError
+
+    def signatures(self) -> DataFrame:
+        """As :meth:`file_status`, for the stored files whose signatures are checked."""
+        return self.file_status()
+
     def saved(self) -> DataFrame:
         """The saved copy of ``trips``."""
         raise NotImplementedError
@@ -85,8 +102,10 @@ class FileTrips(TripSource):
         raw = read_with_contracts(self.spark, self.root, listing, raw_contracts())
         return normalise_all(raw)
 
-    def trips(self, *columns: str) -> DataFrame:
-        return self._normalised.select(*(columns or tuple(VIAJES)))
+    def trips(self, *columns: str, raw: bool = False) -> DataFrame:
+        from_table = self.table is not None and not raw
+        rows = tables.read_trips(self.spark, self.table) if from_table else self._normalised
+        return rows.select(*(columns or tuple(VIAJES)))
 
     def zones(self) -> DataFrame:
         if self.zones_csv is None:
@@ -98,12 +117,11 @@ class FileTrips(TripSource):
 
     def saved(self) -> DataFrame:
         if self.table is None:
-            self.table = tables.write_trips(self.trips(), new_folder(self.spark, "viajes"))
+            self.table = tables.write_trips(self.trips(raw=True), new_folder(self.spark, "viajes"))
         return tables.read_trips(self.spark, self.table)
 
     def record_counts(self) -> DataFrame:
-        """``relativa, registros`` of every file, from the footers."""
-        return inventory.record_counts(inventory.list_files(self.spark, self.root))
+        return inventory.record_counts(self.spark, self.root)
 
     def monthly_files(self) -> DataFrame:
         return inventory.monthly_files(self.spark, self.root)
@@ -114,6 +132,15 @@ class FileTrips(TripSource):
     def footers(self) -> DataFrame:
         return inventory.footers(inventory.list_files(self.spark, self.root))
 
+    def rejected(self) -> DataFrame:
+        """``ruta, relativa, error`` of the files that are set aside when trips are read."""
+        return inventory.rejected_files(inventory.list_files(self.spark, self.root))
+
+
+def _monthly_name() -> Column:
+    """Name of a month's file."""
+    return F.format_string("%s_tripdata_%04d-%02d.parquet", "tipo_taxi", "anio", "mes")
+
 
 # Saved tables and monthly files per session and input folder.
 _WRITTEN: dict[tuple[str, str, str], str] = {}
@@ -158,8 +185,10 @@ class StarTrips(TripSource):
             self._tables[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
         return self._tables[name]
 
-    def trips(self, *columns: str) -> DataFrame:
+    def trips(self, *columns: str, raw: bool = False) -> DataFrame:
         wanted = columns or tuple(VIAJES)
+        if not raw and self._written_key("viajes") in _WRITTEN:
+            return self.saved().select(*wanted)
         joined = self.table("lineitem")
         if any(c in self.FROM_ORDERS for c in wanted):
             orders = self.table("orders")
@@ -222,8 +251,32 @@ class StarTrips(TripSource):
     def valid_pickups(self) -> DataFrame:
         return self.pickups().select("pickup_datetime")
 
+    def valid(self, *columns: str) -> DataFrame:
+        """Indicators run over the saved table, as they would over months of files."""
+        self.saved_path()
+        return super().valid(*columns)
+
+    def monthly_files(self) -> DataFrame:
+        """The months that the line items fall into, as the files they would make; nothing is written."""
+        months = self.trips("tipo_taxi", "anio", "mes", raw=True).distinct()
+        return months.select("tipo_taxi", "anio", "mes", _monthly_name().alias("archivo"))
+
+    def record_counts(self) -> DataFrame:
+        rows = self.trips("tipo_taxi", "anio", "mes", raw=True).groupBy("tipo_taxi", "anio", "mes")
+        return rows.agg(F.count(F.lit(1)).alias("registros")).select(_monthly_name().alias("relativa"), "registros")
+
+    def file_status(self) -> DataFrame:
+        return self.monthly_files().withColumn("valido", F.lit(True))
+
+    def signatures(self) -> DataFrame:
+        """Of the given tables' own files."""
+        return inventory.monthly_file_status(self.spark, self.sf_dir)
+
+    def _written_key(self, kind: str) -> tuple[str, str, str]:
+        return (self.spark.sparkContext.applicationId, self.sf_dir, kind)
+
     def _write_once(self, kind: str, write) -> str:
-        key = (self.spark.sparkContext.applicationId, self.sf_dir, kind)
+        key = self._written_key(kind)
         if key not in _WRITTEN:
             folder = new_folder(self.spark, kind)
             write(folder)
@@ -231,7 +284,7 @@ class StarTrips(TripSource):
         return _WRITTEN[key]
 
     def saved_path(self) -> str:
-        return self._write_once("viajes", lambda folder: tables.write_trips(self.trips(), folder))
+        return self._write_once("viajes", lambda folder: tables.write_trips(self.trips(raw=True), folder))
 
     def saved(self) -> DataFrame:
         return tables.read_trips(self.spark, self.saved_path())

@@ -2,24 +2,18 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
+WAREHOUSE_SETTING = "spark.sql.warehouse.dir"
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; a temporary one only on a local master."""
+    """The folder named by ``spark.checkpoint.dir``, else the warehouse: every executor reaches both."""
     configured = spark.conf.get(CHECKPOINT_SETTING, None) or spark.sparkContext.getCheckpointDir()
-    if configured:
-        return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError(f"set {CHECKPOINT_SETTING} to a folder every executor can reach")
-    folder = tempfile.mkdtemp(prefix="milepost-")
-    spark.sparkContext.setCheckpointDir(folder)
-    return folder
+    return (configured or spark.conf.get(WAREHOUSE_SETTING)).rstrip("/")
 
 
 def new_folder(spark: SparkSession, name: str) -> str:

@@ -12,6 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from milepost.functions.expressions import month_start
 from milepost.functions.labels import SERVICIOS
 from milepost.operators import compare, eda, evolution, explore, indicators, reshape, validate
 from milepost.plans.model import VIAJES
@@ -61,12 +62,12 @@ def _year_trips(source: TripSource, *columns: str) -> DataFrame:
 
 
 def _year_files(source: TripSource) -> DataFrame:
-    files, year = source.files().monthly_files(), source.settings.file_year
+    files, year = source.monthly_files(), source.settings.file_year
     return files if year is None else files.where(F.col("anio") == year)
 
 
 def _year_counts(source: TripSource) -> DataFrame:
-    counts, year = source.files().record_counts(), source.settings.file_year
+    counts, year = source.record_counts(), source.settings.file_year
     return counts if year is None else counts.where(year_of(F.col("relativa")) == year)
 
 
@@ -194,12 +195,12 @@ def _(s):
 
 @report("q16_archivos_por_anio_tipo", "File coverage of chosen years")
 def _(s):
-    return validate.archivos_por_anio_tipo(s.files().monthly_files(), s.settings.years)
+    return validate.archivos_por_anio_tipo(s.monthly_files(), s.settings.years)
 
 
 @report("q17_registros_conjuntos", "Records of chosen years read together")
 def _(s):
-    return validate.registros_conjuntos(s.files().record_counts(), s.settings.years)
+    return validate.registros_conjuntos(s.record_counts(), s.settings.years)
 
 
 @report("q18_comparacion_anual", "Chosen years side by side")
@@ -226,7 +227,7 @@ def _routes(trips: DataFrame) -> DataFrame:
 
 @report("q19_resumen_mensual", "Monthly summary, from the source")
 def _(s):
-    return compare.resumen_mensual(s.trips(*MONTHLY_COLUMNS), s.settings.years, s.settings.digits)
+    return compare.resumen_mensual(s.trips(*MONTHLY_COLUMNS, raw=True), s.settings.years, s.settings.digits)
 
 
 @report("q19_resumen_mensual_tabla", "Monthly summary, from the saved table")
@@ -236,7 +237,7 @@ def _(s):
 
 @report("q20_distribucion_pago", "Payment distribution, from the source")
 def _(s):
-    return compare.distribucion_pago(s.trips(*PAYMENT_COLUMNS), s.settings.years, s.settings.digits)
+    return compare.distribucion_pago(s.trips(*PAYMENT_COLUMNS, raw=True), s.settings.years, s.settings.digits)
 
 
 @report("q20_distribucion_pago_tabla", "Payment distribution, from the saved table")
@@ -246,7 +247,7 @@ def _(s):
 
 @report("q21_rutas_principales", "Main routes, from the source")
 def _(s):
-    trips = s.trips("anio", "tipo_taxi", "origen_id", "destino_id")
+    trips = s.trips("anio", "tipo_taxi", "origen_id", "destino_id", raw=True)
     return compare.rutas_principales(_routes(trips), s.settings.years, s.settings.top_pairs)
 
 
@@ -260,7 +261,7 @@ def _(s):
 
 @report("q22_tabla_viajes", "Normalised trips read from the monthly files")
 def _(s):
-    return s.files().trips()
+    return s.files().trips(raw=True)
 
 
 @report("q23_tabla_zonas", "Zone lookup")
@@ -345,12 +346,12 @@ def _(s):
 
 @report("q35_cobertura", "File coverage of all years")
 def _(s):
-    return validate.cobertura(s.files().monthly_files())
+    return validate.cobertura(s.monthly_files())
 
 
 @report("q36_parquet_vs_tabla", "Records in files and in the saved table")
 def _(s):
-    return validate.parquet_vs_tabla(s.files().record_counts(), s.saved())
+    return validate.parquet_vs_tabla(s.record_counts(), s.saved())
 
 
 @report("q37_cambios_esquema", "Columns missing from some months")
@@ -421,7 +422,7 @@ def _(s):
 
 @report("a04_cobertura_archivos", "Files per year and service")
 def _(s):
-    return validate.cobertura(s.files().monthly_files())
+    return validate.cobertura(s.monthly_files())
 
 
 @report("a05_fuente_normalizada", "The 12 columns of the comparison source")
@@ -432,7 +433,7 @@ def _(s):
 @report("a06_materializar", "Saved table of chosen years")
 def _(s):
     path = new_folder(s.spark, "materializado")
-    table = compare.materializar(s.trips(), s.settings.years, path)
+    table = compare.materializar(s.trips(raw=True), s.settings.years, path)
     return table.groupBy("anio", "tipo_taxi").agg(
         F.count(F.lit(1)).alias("registros"), F.count_distinct("mes").alias("meses")
     )
@@ -486,12 +487,14 @@ def _(s):
 
 @report("a12_meses_completos", "Median duration with a row for every month")
 def _(s):
-    return reshape.completar_meses(REPORTS["q26_duracion_mensual"](s), "fecha", ["tipo_taxi"])
+    known = s.valid("anio", "mes", "tipo_taxi").select(month_start(F.col("anio"), F.col("mes")).alias("fecha"), "tipo_taxi")
+    return reshape.completar_meses(REPORTS["q26_duracion_mensual"](s), "fecha", ["tipo_taxi"], known)
 
 
 @report("a13_indice_base", "Daily demand as an index of the first year")
 def _(s):
-    yearly = REPORTS["q38_comparacion_enero_agosto"](s).select("anio", "tipo_taxi", "viajes_por_dia")
+    columns = ("anio", "mes", "tipo_taxi", "pickup_datetime", "duracion_min", "trip_distance", "total_amount")
+    yearly = evolution.viajes_por_dia(s.trips(*columns), s.max_minutes, s.settings.last_month)
     return evolution.indice_base(yearly, ["tipo_taxi"], "anio", "viajes_por_dia", "indice_viajes")
 
 
@@ -512,17 +515,17 @@ def _(s):
 
 @report("r01_firmas_parquet", "Files with a complete Parquet signature")
 def _(s):
-    return validate.firmas_por_tipo(s.files().file_status())
+    return validate.firmas_por_tipo(s.signatures())
 
 
 @report("r03_meses_esperados", "Every expected month with its state")
 def _(s):
-    return validate.meses_esperados(s.files().file_status(), s.settings.expected_years)
+    return validate.meses_esperados(s.file_status(), s.settings.expected_years)
 
 
 @report("r03_resumen_esperados", "Expected months by state")
 def _(s):
-    months = validate.meses_esperados(s.files().file_status(), s.settings.expected_years)
+    months = validate.meses_esperados(s.file_status(), s.settings.expected_years)
     return validate.resumen_esperados(months)
 
 
@@ -538,3 +541,13 @@ def _(s):
 @report("r06_vigilancia_registros", "Monthly share of incomplete records and its change")
 def _(s):
     return evolution.vigilancia_registros(s.trips("anio", "mes", "tipo_taxi", "payment_type", "ratecode_id"))
+
+
+@report("r06_vigilancia_diferencias", "Monthly records in files against the saved table")
+def _(s):
+    return evolution.vigilancia_diferencias(s.record_counts(), s.saved())
+
+
+@report("r06_vigilancia_columnas", "Columns that appear or disappear between months")
+def _(s):
+    return evolution.vigilancia_columnas(s.files().footers())

@@ -5,7 +5,8 @@ schemas fails on type changes, and a declared schema fails on files that store
 another type. So files are grouped by the types they really store, each group is
 read with its own declared schema, and the groups are cast to one contract and
 unioned. There are as many groups as type variants (usually one to three), so the
-plan stays small for any number of files.
+plan stays small for any number of files. A file whose footer cannot be read is set
+aside, as if it were not there; :func:`milepost.sources.inventory.rejected_files` names it.
 """
 
 from __future__ import annotations
@@ -15,14 +16,17 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from milepost.sources.inventory import footers, service_of
+from milepost.sources.inventory import all_footers, service_of
 
 FILE_PATH = "_ruta"
 
 
+Variant = tuple[tuple[str, str], ...]
+
+
 def _type_variants(
     files: DataFrame, contracts: Mapping[str, Mapping[str, str]], whole_folders: bool
-) -> dict[tuple[str, str], list[str]]:
+) -> dict[tuple[str, Variant], list[str]]:
     """Files or folders per ``(service, types that differ from the contract)``, from one footer pass.
 
     Only metadata reaches the driver, one row per folder with uniform files; Spark's own
@@ -34,32 +38,33 @@ def _type_variants(
     differs = name.isin(*expected) & (F.col("tipo") != kinds[name])
     service = service_of(F.col("relativa"), "")
     per_file = (
-        footers(files.where(service.isin(*contracts)))
+        all_footers(files.where(service.isin(*contracts)))
         .groupBy("ruta", "relativa", service.alias("servicio"))
         .agg(
-            F.array_join(
-                F.sort_array(F.collect_list(F.when(differs, F.concat(name, F.lit(" "), F.col("tipo"))))), ","
-            ).alias("variante")
+            F.sort_array(F.collect_list(F.when(differs, F.struct(name.alias("columna"), "tipo")))).alias("variante"),
+            F.bool_and(F.col("error").isNull()).alias("legible"),
         )
     )
-    units = _folders_or_files(per_file) if whole_folders else per_file.select("servicio", "variante", "ruta")
-    variants: dict[tuple[str, str], list[str]] = {}
+    readable = per_file.where("legible").select("servicio", "variante", "ruta")
+    units = _folders_or_files(per_file) if whole_folders else readable
+    variants: dict[tuple[str, Variant], list[str]] = {}
     for row in units.collect():
-        variants.setdefault((row.servicio, row.variante), []).append(row.ruta)
+        stored = tuple((x.columna, x.tipo) for x in row.variante)
+        variants.setdefault((row.servicio, stored), []).append(row.ruta)
     return variants
 
 
 def _folders_or_files(per_file: DataFrame) -> DataFrame:
-    """A folder named after one service stands for its files when they all store the same types."""
+    """A folder named after one service stands for its files when all are readable and store the same types."""
     folder, last = F.regexp_replace("ruta", r"/[^/]+$", ""), F.regexp_replace("relativa", r"[^/]+$", "")
     placed = per_file.withColumns({"carpeta": folder, "propia": last.contains(F.col("servicio"))})
     folders = placed.groupBy("carpeta").agg(
-        (F.bool_and("propia") & (F.count_distinct("servicio", "variante") == 1)).alias("uniforme"),
+        (F.bool_and(F.col("propia") & F.col("legible")) & (F.count_distinct("servicio", "variante") == 1)).alias("uniforme"),
         F.min("servicio").alias("servicio"),
         F.min("variante").alias("variante"),
     )
     uniform = folders.where("uniforme").select("servicio", "variante", F.col("carpeta").alias("ruta"))
-    mixed = placed.join(folders.where(~F.col("uniforme")).select("carpeta"), "carpeta", "left_semi")
+    mixed = placed.where("legible").join(folders.where(~F.col("uniforme")).select("carpeta"), "carpeta", "left_semi")
     return uniform.unionByName(mixed.select("servicio", "variante", "ruta"))
 
 
@@ -74,7 +79,12 @@ def _read_variant(
             continue
         declared.append(f"`{name}` {actual}")
         columns.append(F.col(name).cast(kind).alias(name))
-    df = spark.read.schema(", ".join(declared)).option("basePath", base).parquet(*paths)
+    df = (
+        spark.read.schema(", ".join(declared))
+        .option("basePath", base)
+        .option("pathGlobFilter", "*.parquet")
+        .parquet(*paths)
+    )
     partitions = [c for c in df.columns if c not in contract]
     return df.select(*columns, *partitions, F.col("_metadata.file_path").alias(FILE_PATH))
 
@@ -94,8 +104,7 @@ def read_with_contracts(
     """
     read: dict[str, DataFrame] = {}
     for (service, variant), paths in sorted(_type_variants(files, contracts, whole_folders).items()):
-        stored = dict(part.split(" ", 1) for part in variant.split(",") if part)
-        part = _read_variant(spark, base, sorted(paths), contracts[service], stored)
+        part = _read_variant(spark, base, sorted(paths), contracts[service], dict(variant))
         read[service] = read[service].unionByName(part, allowMissingColumns=True) if service in read else part
     if not read:
         raise FileNotFoundError(f"no monthly files to read below {base}")

@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from milepost.functions.labels import SERVICIOS
+from milepost.sources.storage import open_file, storage_options
 
 # Tasks get the functions below by value, so workers need not have this package installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -139,26 +140,22 @@ def monthly_files(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
-def _open(path: str):
-    from pyarrow import fs
+def _spread(files: DataFrame) -> DataFrame:
+    """Files dealt out by number: opening one costs the same whatever its size."""
+    return files.repartition(files.sparkSession.sparkContext.defaultParallelism)
 
-    if path.startswith("file:"):
-        return fs.LocalFileSystem().open_input_file("/" + path[len("file:"):].lstrip("/"))
-    if "://" not in path:
-        return fs.LocalFileSystem().open_input_file(path)
-    system, inner = fs.FileSystem.from_uri(path)
-    return system.open_input_file(inner)
 
+def _signature_ok(path: str, options: dict[str, str]) -> bool:
+    import pyarrow as pa
 
-def _signature_ok(path: str) -> bool:
     try:
-        with _open(path) as handle:
+        with open_file(path, options) as handle:
             size = handle.size()
             if size < 2 * len(PARQUET_SIGNATURE):
                 return False
             head = handle.read_at(len(PARQUET_SIGNATURE), 0)
             tail = handle.read_at(len(PARQUET_SIGNATURE), size - len(PARQUET_SIGNATURE))
-    except OSError:
+    except (OSError, pa.ArrowException):
         return False
     return head == PARQUET_SIGNATURE and tail == PARQUET_SIGNATURE
 
@@ -166,11 +163,13 @@ def _signature_ok(path: str) -> bool:
 def check_signatures(files: DataFrame) -> DataFrame:
     """Add ``valido``: the file starts and ends with the Parquet signature."""
 
+    options = storage_options(files.sparkSession)
+
     def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield batch.assign(valido=[_signature_ok(path) for path in batch["ruta"]])
+            yield batch.assign(valido=[_signature_ok(path, options) for path in batch["ruta"]])
 
-    columns = files.select("ruta", "relativa")
+    columns = _spread(files.select("ruta", "relativa"))
     return columns.mapInPandas(check, "ruta string, relativa string, valido boolean")
 
 
@@ -218,40 +217,65 @@ def _spark_type(arrow_type) -> str:
     return known.get(str(arrow_type), str(arrow_type))
 
 
-def record_counts(files: DataFrame) -> DataFrame:
-    """``relativa, registros``: the record count each file states in its footer. No record is read."""
-    import pyarrow.parquet as pq
+def record_counts(spark: SparkSession, root: str) -> DataFrame:
+    """``relativa, registros`` of every readable file below ``root`` that holds records.
 
-    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            counts = []
-            for path in batch["ruta"]:
-                with _open(path) as handle:
-                    counts.append(pq.read_metadata(handle).num_rows)
-            yield pd.DataFrame({"relativa": batch["relativa"], "registros": counts})
+    A scan without columns: Spark takes the counts from the footers itself. Files with a broken
+    footer are left out; :func:`rejected_files` names them.
+    """
+    # Scans write paths as URLs, listings as they are.
+    path = F.try_url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    return (
+        spark.read.schema("anio int")
+        .option("recursiveFileLookup", "true")
+        .option("pathGlobFilter", "*.parquet")
+        .option("ignoreCorruptFiles", "true")
+        .parquet(root)
+        .groupBy(below_root(path, root).alias("relativa"))
+        .agg(F.count(F.lit(1)).alias("registros"))
+    )
 
-    return files.select("ruta", "relativa").mapInPandas(read, "relativa string, registros bigint")
 
+FOOTER_COLUMNS = "ruta string, relativa string, posicion int, columna string, tipo string, error string"
 
-def footers(files: DataFrame) -> DataFrame:
-    """One row per file and column: ``ruta, relativa, posicion, columna, tipo``.
 
-    Only the footer of each file is read, inside the task that lists it.
-    """
+def all_footers(files: DataFrame) -> DataFrame:
+    """:func:`footers`, and for a file whose footer cannot be read one row with ``error`` alone."""
     import pyarrow.parquet as pq
 
+    options = storage_options(files.sparkSession)
+
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import pyarrow as pa
+
         for batch in batches:
             rows = []
             for path, relative in zip(batch["ruta"], batch["relativa"]):
-                with _open(path) as handle:
-                    schema = pq.read_schema(handle)
+                try:
+                    with open_file(path, options) as handle:
+                        schema = pq.read_schema(handle)
+                except (OSError, pa.ArrowException) as problem:
+                    rows.append((path, relative, None, None, None, str(problem)[:500]))
+                    continue
                 rows += [
-                    (path, relative, position, field.name, _spark_type(field.type))
+                    (path, relative, position, field.name, _spark_type(field.type), None)
                     for position, field in enumerate(schema)
                 ]
-            yield pd.DataFrame(rows, columns=["ruta", "relativa", "posicion", "columna", "tipo"])
+            yield pd.DataFrame(rows, columns=["ruta", "relativa", "posicion", "columna", "tipo", "error"]).astype(
+                {"posicion": "Int32"}
+            )
 
-    return files.select("ruta", "relativa").mapInPandas(
-        read, "ruta string, relativa string, posicion int, columna string, tipo string"
-    )
+    return _spread(files.select("ruta", "relativa")).mapInPandas(read, FOOTER_COLUMNS)
+
+
+def footers(files: DataFrame) -> DataFrame:
+    """One row per readable file and column: ``ruta, relativa, posicion, columna, tipo``.
+
+    Only the footer of each file is read, inside a task.
+    """
+    return all_footers(files).where(F.col("error").isNull()).drop("error")
+
+
+def rejected_files(files: DataFrame) -> DataFrame:
+    """``ruta, relativa, error`` of the files whose footer cannot be read."""
+    return all_footers(files).where(F.col("error").isNotNull()).select("ruta", "relativa", "error")

@@ -1,9 +1,10 @@
-"""Append newly arrived monthly files to a normalised table.
+"""Keep a normalised table in step with the monthly files that arrive.
 
-The stream carries file names, not records: each micro-batch names the new files,
-which are then read with the drift-safe batch reader. A batch writes its own folder
-``lote=<batch>`` in overwrite mode, so a batch that is run again after a failure
-replaces itself and no record is added twice.
+The stream carries file names, not records: each micro-batch names new files. The months they
+belong to are read again as a whole with the drift-safe batch reader and replace their
+partitions ``tipo_taxi=/anio=/mes=``. A batch that runs again, another batch size or a lost
+checkpoint therefore adds no record twice. A month that was published again under the same
+path is found by its size and time against the manifest, which also names the files set aside.
 """
 
 from __future__ import annotations
@@ -11,18 +12,103 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from milepost.functions.labels import SERVICIOS
 from milepost.plans.model import VIAJES, normalise_all, raw_contracts
 from milepost.sources.drift import read_with_contracts
-from milepost.sources.inventory import below_root, service_of
+from milepost.sources.inventory import below_root, list_files, month_of, rejected_files, service_of, year_of
 
 # Fixed value: schema of the file-listing source.
 LISTING = "path string, modificationTime timestamp, length long, content binary"
+PARTITIONS = ("tipo_taxi", "anio", "mes")
+MANIFEST = "ruta string, relativa string, bytes long, modificado timestamp, rechazo string, tomado timestamp"
+NO_SERVICE = "the name tells no known service"
+NO_MONTH = "the name tells no month"
+
+
+def _manifest_path(table: str) -> str:
+    return f"{table.rstrip('/')}_archivos"
+
+
+def _placed(files: DataFrame) -> DataFrame:
+    path = F.col("relativa")
+    return files.withColumns(
+        {"tipo_taxi": service_of(path, None), "anio": year_of(path), "mes": month_of(path)}
+    )
+
+
+def _take(spark: SparkSession, root: str, table: str, names: DataFrame) -> int:
+    """Replace the months of ``names`` (``relativa``) by what their files hold now; how many files were named."""
+    listing = _placed(list_files(spark, root))
+    named = _placed(names.select("relativa").distinct())
+    months = named.select(*[F.col(c).alias(f"_{c}") for c in PARTITIONS]).distinct()
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in PARTITIONS]
+    files = listing.join(F.broadcast(months), same[0] & same[1] & same[2], "left_semi").persist()
+    try:
+        readable = files.where(F.col("tipo_taxi").isin(*SERVICIOS) & F.col("anio").isNotNull() & F.col("mes").isNotNull())
+        bad = rejected_files(readable).select("ruta", F.col("error").alias("rechazo")).persist()
+        good = readable.join(bad, "ruta", "left_anti")
+        if not good.isEmpty():
+            raw = read_with_contracts(spark, root, good.select("ruta", "relativa"), raw_contracts(), whole_folders=False)
+            (
+                normalise_all(raw)
+                .hint("rebalance", *PARTITIONS)
+                .write.mode("overwrite")
+                .option("partitionOverwriteMode", "dynamic")
+                .partitionBy(*PARTITIONS)
+                .parquet(table)
+            )
+        unnamed = F.when(~F.coalesce(F.col("tipo_taxi"), F.lit("")).isin(*SERVICIOS), NO_SERVICE).when(
+            F.col("anio").isNull() | F.col("mes").isNull(), NO_MONTH
+        )
+        taken = files.join(bad, "ruta", "left").select(
+            "ruta",
+            "relativa",
+            "bytes",
+            "modificado",
+            F.coalesce("rechazo", unnamed).alias("rechazo"),
+            F.current_timestamp().alias("tomado"),
+        )
+        taken.coalesce(1).write.mode("append").parquet(_manifest_path(table))
+        bad.unpersist()
+        return named.count()
+    finally:
+        files.unpersist()
+
+
+def _manifest(spark: SparkSession, table: str) -> DataFrame:
+    """What is known of each file since it was last taken."""
+    rows = spark.read.schema(MANIFEST).parquet(_manifest_path(table))
+    latest = F.max_by(F.struct("bytes", "modificado", "rechazo"), "tomado").alias("visto")
+    return rows.groupBy("relativa").agg(latest).select("relativa", "visto.*")
+
+
+def _manifest_exists(spark: SparkSession, table: str) -> bool:
+    path = spark._jvm.org.apache.hadoop.fs.Path(_manifest_path(table))
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
 
 
 def ingest_arrivals(
     spark: SparkSession, root: str, table: str, checkpoint: str, files_per_batch: int = 1000
 ) -> int:
-    """Ingest every file below ``root`` not seen before; returns how many files were new."""
+    """Ingest every file below ``root`` that is new or was published again; returns how many there were.
+
+    Files that name no service or month, or whose footer cannot be read, are set aside and
+    listed by :func:`read_rejected`; the others go on.
+    """
+    counts: list[int] = []
+    if _manifest_exists(spark, table):
+        known = _manifest(spark, table).select("relativa", F.col("bytes").alias("antes"), F.col("modificado").alias("hora"))
+        changed = (
+            list_files(spark, root)
+            .join(known, "relativa")
+            .where((F.col("bytes") != F.col("antes")) | (F.col("modificado") != F.col("hora")))
+            .select("relativa")
+            .persist()
+        )
+        if not changed.isEmpty():
+            counts.append(changed.count())
+            _take(spark, root, table, changed)
+        changed.unpersist()
     arrivals = (
         spark.readStream.format("binaryFile")
         .schema(LISTING)
@@ -32,22 +118,14 @@ def ingest_arrivals(
         # A file may keep an old modification time when it is copied in late.
         .option("maxFileAge", "36500d")
         .load(root)
-        .select("path")
+        .select(below_root(F.col("path"), root).alias("relativa"))
     )
-    taken = []
 
     def append(batch: DataFrame, batch_id: int) -> None:
-        # At most ``files_per_batch`` names.
-        paths = [row.path for row in batch.where(service_of(below_root(F.col("path"), root), "") != "").collect()]
-        if not paths:
-            return
-        names = spark.createDataFrame([(p,) for p in paths], "ruta string")
-        # A footer takes milliseconds: a few dozen per task.
-        names = names.repartition(1 + len(paths) // 32).withColumn("relativa", below_root(F.col("ruta"), root))
-        raw = read_with_contracts(spark, root, names, raw_contracts(), whole_folders=False)
-        rows = normalise_all(raw)
-        rows.write.mode("overwrite").partitionBy("tipo_taxi", "anio").parquet(f"{table}/lote={batch_id}")
-        taken.extend(paths)
+        names = batch.persist()
+        if not names.isEmpty():
+            counts.append(_take(spark, root, table, names))
+        names.unpersist()
 
     query = (
         arrivals.writeStream.foreachBatch(append)
@@ -56,10 +134,15 @@ def ingest_arrivals(
         .start()
     )
     query.awaitTermination()
-    return len(taken)
+    return sum(counts)
 
 
 def read_ingested(spark: SparkSession, table: str) -> DataFrame:
     """The table written by :func:`ingest_arrivals`."""
     ddl = ", ".join(f"{name} {kind}" for name, kind in VIAJES.items())
-    return spark.read.schema(f"{ddl}, lote bigint").parquet(table).select(*VIAJES)
+    return spark.read.schema(ddl).parquet(table).select(*VIAJES)
+
+
+def read_rejected(spark: SparkSession, table: str) -> DataFrame:
+    """``relativa, rechazo``: the files that the last look set aside, and why."""
+    return _manifest(spark, table).where(F.col("rechazo").isNotNull()).select("relativa", "rechazo")

@@ -16,6 +16,7 @@ def spark(tmp_path_factory):
         spark__sql__shuffle__partitions="4",
         spark__driver__memory="4g",
         spark__ui__enabled="false",
+        spark__checkpoint__dir=f"file://{tmp_path_factory.mktemp('shared')}",
     )
     yield session
     session.stop()

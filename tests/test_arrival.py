@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from milepost.streaming.arrival import ingest_arrivals, read_ingested
+from milepost.streaming.arrival import ingest_arrivals, read_ingested, read_rejected
 from tests.drift_files import write_drift_set, write_month
 
 
@@ -20,12 +20,38 @@ def test_second_run_adds_nothing_and_a_new_year_is_picked_up(spark, tmp_path):
     assert rows.where("anio = 2027").count() == 9
 
 
-def test_a_repeated_batch_replaces_itself(spark, tmp_path):
-    """A batch that failed after writing is run again under the same number."""
-    root = tmp_path / "raw"
-    write_month(root, "yellow", 2024, 1, 4)
+def test_a_lost_checkpoint_and_another_batch_size_add_nothing(spark, tmp_path):
+    root = write_drift_set(tmp_path / "raw")
     table = str(tmp_path / "table")
-    ingest_arrivals(spark, str(root), table, str(tmp_path / "first"))
-    # A lost checkpoint entry makes Spark run batch 0 again.
+    ingest_arrivals(spark, str(root), table, str(tmp_path / "first"), files_per_batch=3)
     ingest_arrivals(spark, str(root), table, str(tmp_path / "second"))
+    assert read_ingested(spark, table).count() == 28
+
+
+def test_a_month_published_again_replaces_its_rows(spark, tmp_path):
+    root, table, checkpoint = tmp_path / "raw", str(tmp_path / "table"), str(tmp_path / "checkpoint")
+    write_month(root, "yellow", 2024, 1, 4)
+    write_month(root, "yellow", 2024, 2, 3)
+    assert ingest_arrivals(spark, str(root), table, checkpoint) == 2
+    write_month(root, "yellow", 2024, 1, 6)
+    assert ingest_arrivals(spark, str(root), table, checkpoint) == 1
+    counts = read_ingested(spark, table).groupBy("mes").count().collect()
+    assert {r.mes: r["count"] for r in counts} == {1: 6, 2: 3}
+    assert ingest_arrivals(spark, str(root), table, checkpoint) == 0
+
+
+def test_bad_files_are_set_aside_and_listed(spark, tmp_path):
+    root, table, checkpoint = tmp_path / "raw", str(tmp_path / "table"), str(tmp_path / "checkpoint")
+    write_month(root, "yellow", 2024, 1, 4)
+    folder = root / "yellow" / "2024"
+    (folder / "yellow_tripdata_2024-02.parquet").write_bytes(b"PAR1xxxx")
+    (root / "other_tripdata_2024-01.parquet").write_bytes(b"PAR1xxxx")
+    (folder / "yellow_tripdata_2024-01.parquet.part").write_bytes(b"half")
+    assert ingest_arrivals(spark, str(root), table, checkpoint) == 3
     assert read_ingested(spark, table).count() == 4
+    rejected = {r.relativa: r.rechazo for r in read_rejected(spark, table).collect()}
+    assert set(rejected) == {"other_tripdata_2024-01.parquet", "yellow/2024/yellow_tripdata_2024-02.parquet"}
+    # Once it is whole it is taken.
+    write_month(root, "yellow", 2024, 2, 5)
+    assert ingest_arrivals(spark, str(root), table, checkpoint) == 1
+    assert read_ingested(spark, table).count() == 9

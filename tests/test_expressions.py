@@ -13,6 +13,7 @@ from milepost.functions import labels
 from milepost.functions.expressions import (
     exact_avg,
     exact_sum,
+    exact_total,
     hours_crossed,
     is_weekend,
     iso_weekday,
@@ -21,6 +22,7 @@ from milepost.functions.expressions import (
     percent_of_rows,
     rounded,
     seconds_between,
+    sum_of_totals,
 )
 
 
@@ -101,3 +103,20 @@ def test_exact_sums_match_decimals(spark):
     assert shown[0] == float(total)
     assert shown[1] == float(total) / 5_000
     assert df.where("x IS NULL").agg(exact_sum(F.col("x")), exact_avg(F.col("x"))).first() == (None, None)
+
+
+def test_sums_take_values_that_are_no_amounts(spark):
+    """As plain sums do: a value that is not a number stays one, a huge one is added."""
+    rows = [("nan", 1.5), ("nan", float("nan")), ("huge", 1e20), ("huge", 2.25), ("usual", 0.1), ("usual", None), ("none", None)]
+    table = spark.createDataFrame(rows, "k string, x double").groupBy("k").agg(
+        exact_sum(F.col("x")).alias("s"), exact_avg(F.col("x")).alias("a"), F.sum("x").alias("p"), F.avg("x").alias("q")
+    )
+    for r in table.collect():
+        assert str(r.s) == str(r.p) and str(r.a) == str(r.q), r.k
+
+
+def test_totals_add_up(spark):
+    rows = [(1, 0.1), (1, float("inf")), (2, 0.2), (2, None)]
+    parts = spark.createDataFrame(rows, "k int, x double").groupBy("k").agg(exact_total(F.col("x")).alias("t"))
+    assert parts.where("k = 2").agg(sum_of_totals("t").alias("s")).first().s == 0.2
+    assert parts.agg(sum_of_totals("t").alias("s")).first().s == float("inf")

@@ -5,15 +5,17 @@ from __future__ import annotations
 import uuid
 from pathlib import Path
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 
-from milepost.operators import explore, validate
+from milepost.operators import evolution, explore, validate
 from milepost.plans import tables
 from milepost.plans.model import VIAJES
 from milepost.plans.settings import Settings
 from milepost.plans.trip_source import FileTrips
 from milepost.registry import REPORTS
-from milepost.sources import inventory
+from milepost.sources import inventory, storage
 from tests.drift_files import write_drift_set, write_month
 
 SETTINGS = Settings(years=(2024, 2025), min_trips=1)
@@ -205,3 +207,68 @@ def test_services_sharing_a_folder(spark, tmp_path):
     assert sorted((r.tipo_taxi, r["count"]) for r in source.trips().groupBy("tipo_taxi").count().collect()) == [
         ("green", 2), ("yellow", 2)
     ]
+
+
+def test_decimal_and_part_and_corrupt_files(spark, tmp_path):
+    """A decimal column is cast, foreign files are not read, broken ones are set aside and named."""
+    path = write_month(tmp_path, "yellow", 2024, 1, 3)
+    raw = pq.read_table(path)
+    at = raw.schema.get_field_index("fare_amount")
+    pq.write_table(raw.set_column(at, "fare_amount", raw["fare_amount"].cast(pa.decimal128(10, 2))), path)
+    write_month(tmp_path, "yellow", 2024, 2, 2)
+    folder = path.parent
+    (folder / "yellow_tripdata_2024-03.parquet.part").write_bytes(b"half a download")
+    (folder / "yellow_tripdata_2024-04.parquet").write_bytes(b"PAR1xxxx")
+    source = FileTrips(spark, str(tmp_path), settings=Settings(file_year=2024, years=(2024,), min_trips=1))
+    rows = source.trips("mes", "fare_amount").collect()
+    assert sorted((r.mes, r.fare_amount) for r in rows) == [(1, 10.0)] * 3 + [(2, 10.0)] * 2
+    assert [r.relativa for r in source.rejected().collect()] == ["yellow/2024/yellow_tripdata_2024-04.parquet"]
+    assert {r.relativa: r.registros for r in source.record_counts().collect()} == {
+        "yellow/2024/yellow_tripdata_2024-01.parquet": 3, "yellow/2024/yellow_tripdata_2024-02.parquet": 2
+    }
+    for name in ("q02_cantidad_registros", "q04_esquema_yellow", "q17_registros_conjuntos", "q37_cambios_esquema"):
+        REPORTS[name](source).collect()
+
+
+def test_a_whole_folder_of_one_type_is_read_as_a_folder_without_foreign_files(spark, tmp_path):
+    path = write_month(tmp_path, "green", 2024, 1, 2)
+    (path.parent / "green_tripdata_2024-02.parquet.part").write_bytes(b"half a download")
+    assert FileTrips(spark, str(tmp_path)).trips().count() == 2
+
+
+def test_counts_use_no_python(source):
+    plan = REPORTS["q03_registros_por_archivo"](source)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "MapInPandas" not in plan
+
+
+def test_stores_are_opened_without_network():
+    from pyarrow import fs
+
+    options = {"fs.s3a.access.key": "k", "fs.s3a.secret.key": "s", "fs.s3a.endpoint": "store.local:9000"}
+    system, inner = storage.locate("s3a://bucket/raw/x.parquet", options)
+    assert isinstance(system, fs.S3FileSystem) and inner == "bucket/raw/x.parquet"
+    assert storage.locate("file:/a/b.parquet", {})[1] == "/a/b.parquet"
+    assert storage.locate("/a/b.parquet", {})[1] == "/a/b.parquet"
+
+
+def test_a_source_with_a_table_reads_it(spark, source, root):
+    """Reports prune the saved table's folders; the files are read on request."""
+    table = FileTrips(spark, str(root), settings=SETTINGS)
+    table.saved()
+    for name in ("q39_control_composicion", "q40_demanda_por_tipo_registro"):
+        plan = REPORTS[name](table)._jdf.queryExecution().executedPlan().toString()
+        assert "PartitionFilters: [isnotnull(tipo_taxi" in plan or "PartitionFilters: [isnotnull(anio" in plan
+    assert "tripdata" not in str(table.trips().inputFiles()[0]) and "tripdata" in str(table.trips(raw=True).inputFiles()[0])
+
+
+def test_a_partition_missing_from_the_table_shows(spark, source):
+    """The counts of files and table come from different data."""
+    less = source.saved().where("NOT (anio = 2025 AND tipo_taxi = 'green')")
+    rows = evolution.vigilancia_diferencias(source.record_counts(), less).where("diferencia <> 0").collect()
+    assert [(r.tipo_taxi, str(r.fecha), r.diferencia) for r in rows] == [("green", "2025-01-01", 7)]
+
+
+def test_columns_that_appear_and_disappear(source):
+    rows = as_tuples(evolution.vigilancia_columnas(source.footers()))
+    assert ("yellow", "2025-01", "cbd_congestion_fee", "aparece") in rows
+    assert ("green", "2026-06", "vendorid", "desaparece") not in rows
