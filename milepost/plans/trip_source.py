@@ -251,11 +251,6 @@ class StarTrips(TripSource):
     def valid_pickups(self) -> DataFrame:
         return self.pickups().select("pickup_datetime")
 
-    def valid(self, *columns: str) -> DataFrame:
-        """Indicators run over the saved table, as they would over months of files."""
-        self.saved_path()
-        return super().valid(*columns)
-
     def monthly_files(self) -> DataFrame:
         """The months that the line items fall into, as the files they would make; nothing is written."""
         months = self.trips("tipo_taxi", "anio", "mes", raw=True).distinct()

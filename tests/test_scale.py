@@ -114,3 +114,23 @@ def test_ranking_is_cut_before_its_shuffle(spark, tmp_path):
     source = write_star(spark, tmp_path)
     plan = REPORTS["q06_muestra_registros"](source)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("WindowGroupLimit") == 2
+
+
+def test_reports_start_no_job_and_read_the_source_twice_at_most(spark, tmp_path):
+    """A sketch pass and a counting pass; months and base years are not computed with medians."""
+    source = write_star(spark, tmp_path, n=3_000)
+    spark.sparkContext.setJobGroup("build-reports", "build only")
+    try:
+        built = {
+            name: REPORTS[name](source)
+            for name in ("q10_caracteristicas_por_tipo", "q13_distribucion", "q25_pasajeros_duracion", "q28_origen_solicitud", "a13_indice_base")
+        }
+        # Opening a table reads its footer in a job of its own; no report aggregates.
+        stages = [
+            spark.sparkContext.statusTracker().getJobInfo(j) for j in spark.sparkContext.statusTracker().getJobIdsForGroup("build-reports")
+        ]
+        assert all(len(job.stageIds) == 1 for job in stages if job)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    plan = built["a13_indice_base"]._jdf.queryExecution().optimizedPlan().toString()
+    assert "percentile" not in plan and plan.count("Relation [l_orderkey") == 1
