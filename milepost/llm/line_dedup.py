@@ -19,12 +19,8 @@ def _text(docs: DataFrame) -> DataFrame:
     )
 
 
-def _joined(w: Column, start, length) -> Column:
-    return F.array_join(F.slice(w, start, length), " ")
-
-
-def _halves(w: Column) -> Column:
-    """Hashes of the first and of the last words of a line.
+def _halves(h: Column) -> Column:
+    """Hashes of the first and of the last words of a line, given its words' hashes.
 
     Of two lines one edit apart, both keep their first or their last ``(n - 1) // 2`` words,
     where n is the shorter length; a line gives the keys for its own length and one less.
@@ -33,22 +29,24 @@ def _halves(w: Column) -> Column:
     def keys(n: Column) -> Column:
         m = F.floor((n - 1) / 2).cast("int")
         return F.array(
-            F.xxhash64(F.lit("first"), m, _joined(w, F.lit(1), m)),
-            F.xxhash64(F.lit("last"), m, _joined(w, F.size(w) - m + 1, m)),
+            F.xxhash64(F.lit(1), m, F.slice(h, 1, m)), F.xxhash64(F.lit(2), m, F.slice(h, F.size(h) - m + 1, m))
         )
 
-    return F.array_distinct(F.concat(keys(F.size(w)), keys(F.size(w) - 1)))
+    return F.array_distinct(F.concat(keys(F.size(h)), keys(F.size(h) - 1)))
+
+
+def _hashes(w: Column) -> Column:
+    return F.transform(w, lambda x: F.xxhash64(x))
 
 
 def lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """One row per line with a word: its place, a 128-bit key of its words, and the keys of its halves."""
     split = _text(docs).select("doc_id", "text_key", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
     with_words = split.select("doc_id", "text_key", "line_no", words(F.col("line")).alias("w")).where(F.size("w") > 0)
-    joined = F.array_join("w", " ")
     return with_words.select(
         F.struct("doc_id", "text_key", "line_no").alias("place"),
-        let(joined, lambda t: F.struct(F.xxhash64(t).alias("h"), F.xxhash64(F.lit(1), t).alias("g"))).alias("line_key"),
-        F.when(F.size("w") >= min_words, let(F.col("w"), _halves)).alias("halves"),
+        F.struct(F.xxhash64("w").alias("h"), F.xxhash64(F.lit(1), "w").alias("g")).alias("line_key"),
+        F.when(F.size("w") >= min_words, let(_hashes(F.col("w")), _halves)).alias("halves"),
     )
 
 
@@ -57,17 +55,20 @@ def _variants(candidates: DataFrame) -> DataFrame:
 
     ``at`` is the place of the deleted word, and -1 for the line itself.
     """
-    n = F.size("w")
 
-    def variant(i: Column) -> Column:
-        rest = F.concat_ws(" ", F.slice(F.col("w"), 1, i), F.slice(F.col("w"), i + 2, n))
-        return F.struct(F.xxhash64(rest).alias("variant"), i.alias("at"))
+    def every(h: Column) -> Column:
+        # The hash of two arrays in a row is that of their elements in a row, wherever the cut is.
+        itself = F.struct(F.xxhash64(h).alias("variant"), F.lit(-1).alias("at"))
 
-    itself = F.struct(F.xxhash64(F.array_join("w", " ")).alias("variant"), F.lit(-1).alias("at"))
-    every = F.concat(F.array(itself), F.transform(F.sequence(F.lit(0), n - 1), variant))
-    return candidates.select("line_key", "place", F.explode(every).alias("v")).select(
-        "line_key", "place", "v.variant", "v.at"
-    )
+        def without(i: Column) -> Column:
+            rest = F.xxhash64(F.slice(h, 1, i), F.slice(h, i + 2, F.size(h)))
+            return F.struct(rest.alias("variant"), i.alias("at"))
+
+        return F.concat(F.array(itself), F.transform(F.sequence(F.lit(0), F.size(h) - 1), without))
+
+    return candidates.select(
+        "line_key", "place", F.explode(let(_hashes(F.col("w")), every)).alias("v")
+    ).select("line_key", "place", "v.variant", "v.at")
 
 
 def _within_one(a: Column, b: Column) -> Column:
