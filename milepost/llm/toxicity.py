@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections import Counter
-from dataclasses import dataclass
+from dataclasses import astuple, dataclass
 from math import log
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Bounds of the labelled sample, so that the fit has one size: rows of each label, and the
 #: longest text in bytes that it uses. Scoring has no such bounds.
@@ -213,34 +214,32 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
 _METERS: dict[int, Meter] = {}
 
 
-def _meter(model: Model) -> Meter:
-    key = hash((model.ordinary, model.toxic))
+def _meter(ordinary: bytes, toxic: bytes) -> Meter:
+    key = hash((ordinary, toxic))
     if key not in _METERS:
-        _METERS[key] = Meter(model.ordinary, model.toxic)
+        _METERS[key] = Meter(ordinary, toxic)
     return _METERS[key]
 
 
 def scored(docs: DataFrame, model: Model) -> DataFrame:
     """The rows of ``docs`` with ``score`` in 0 to 1 for the whole text; other columns stay."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded: under 80 KB
+    shared = docs.sparkSession.sparkContext.broadcast(astuple(model))  # bounded: under 80 KB
     kept = docs.select(*[c for c in docs.columns if c != "score"])
 
     def run(batches):
         import numpy as np
         import pyarrow as pa
 
-        m = shared.value
+        ordinary, toxic, mean, scale, weights, prior = shared.value
         for batch in batches:
-            if m.weights:
-                meter, texts = _meter(m), batch.column("text")
-                x = np.array([meter.features(t.as_py()) for t in texts], float).reshape(-1, len(m.mean))
-                score = _probability(x, np.array(m.mean), np.array(m.scale), m.weights)
+            if weights:
+                meter, texts = _meter(ordinary, toxic), batch.column("text")
+                x = np.array([meter.features(t.as_py()) for t in texts], float).reshape(-1, len(mean))
+                score = _probability(x, np.array(mean), np.array(scale), weights)
             else:
-                score = np.full(batch.num_rows, m.prior)
+                score = np.full(batch.num_rows, prior)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(score)], [*batch.schema.names, "score"])
 
-    from pyspark.sql import types as T
-
     return kept.mapInArrow(run, T.StructType([*kept.schema, T.StructField("score", T.DoubleType())]))
 
 
