@@ -16,7 +16,9 @@ NORMAL, USER, BYTE = 1, 4, 6
 #: How far below the worst piece a character scores that no piece holds.
 UNKNOWN_PENALTY = 10.0
 #: Encoded words a Python worker remembers before it forgets them all.
-REMEMBERED = 200_000
+REMEMBERED = 400_000
+#: Rows whose ids are Python objects at one time.
+ROWS = 128
 
 
 @lru_cache(maxsize=4)
@@ -108,7 +110,7 @@ class Encoder:
                 if len(part) <= 64:
                     if len(seen) >= REMEMBERED:
                         seen.clear()
-                    seen[part] = found
+                    seen[part] = tuple(found)
             ids += found
         return ids
 
@@ -118,14 +120,26 @@ class Encoder:
         return raw.decode("utf-8", "replace")[1:] if ids else ""
 
 
-_ENCODERS: dict[int, Encoder] = {}
+def _shared(docs: DataFrame, pieces):
+    """The model as a broadcast, a bounded table. What a worker makes of it is kept beside it, from task to task."""
+    return docs.sparkSession.sparkContext.broadcast({"pieces": pieces or load()})
 
 
-def _encoder(pieces) -> Encoder:
-    key = hash(pieces)
-    if key not in _ENCODERS:
-        _ENCODERS[key] = Encoder(pieces)
-    return _ENCODERS[key]
+def _encoder(kept: dict) -> Encoder:
+    if "encoder" not in kept:
+        kept["encoder"] = Encoder(kept["pieces"])
+    return kept["encoder"]
+
+
+def _lists(column) -> list[list[int] | None]:
+    """Lists of an Arrow column; a value at a time would take many times as long."""
+    bounds = column.offsets.to_pylist()
+    values = column.values.to_numpy(zero_copy_only=False)[bounds[0] : bounds[-1]].tolist()
+    missing, start = column.is_null().to_pylist(), bounds[0]
+    return [
+        None if none else values[a - start : b - start]
+        for none, a, b in zip(missing, bounds, bounds[1:], strict=False)
+    ]
 
 
 def encode(docs: DataFrame, pieces=None) -> DataFrame:
@@ -138,8 +152,7 @@ def encode(docs: DataFrame, pieces=None) -> DataFrame:
     stay one to one, repeated rows too; an empty table stays empty. Texts are whole: a long one
     is a sequence of words, and no split crosses the start of a word.
     """
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(pieces or load())  # the model: a bounded table
+    shared = _shared(docs, pieces)
     kept = docs.select(*[c for c in docs.columns if c not in ("ids", "n_ids")])
     schema = T.StructType([*kept.schema, T.StructField("ids", T.ArrayType(T.IntegerType()))])
 
@@ -148,8 +161,8 @@ def encode(docs: DataFrame, pieces=None) -> DataFrame:
 
         encoder = _encoder(shared.value)
         for batch in batches:
-            for start in range(0, batch.num_rows, 512):
-                part = batch.slice(start, 512)
+            for start in range(0, batch.num_rows, ROWS):
+                part = batch.slice(start, ROWS)
                 ids = [None if t is None else encoder.encode(t) for t in part.column("text").to_pylist()]
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns, pa.array(ids, pa.list_(pa.int32()))], [*part.schema.names, "ids"]
@@ -164,8 +177,7 @@ def decode(encoded: DataFrame, pieces=None) -> DataFrame:
     Exact but for the space letter itself, which comes back as a space. A column named
     ``decoded`` is replaced.
     """
-    spark = encoded.sparkSession
-    shared = spark.sparkContext.broadcast(pieces or load())
+    shared = _shared(encoded, pieces)
     kept = encoded.select(*[c for c in encoded.columns if c != "decoded"])
     schema = T.StructType([*kept.schema, T.StructField("decoded", T.StringType())])
 
@@ -174,9 +186,11 @@ def decode(encoded: DataFrame, pieces=None) -> DataFrame:
 
         encoder = _encoder(shared.value)
         for batch in batches:
-            texts = [None if x is None else encoder.decode(x) for x in batch.column("ids").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(texts, pa.string())], [*batch.schema.names, "decoded"]
-            )
+            for start in range(0, batch.num_rows, ROWS):
+                part = batch.slice(start, ROWS)
+                texts = [None if x is None else encoder.decode(x) for x in _lists(part.column("ids"))]
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns, pa.array(texts, pa.string())], [*part.schema.names, "decoded"]
+                )
 
     return kept.mapInArrow(run, schema)
