@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from milepost.llm.chat import CHAT_SQL, perspectives
 from milepost.llm.common import table
 from milepost.llm.exact_dedup import exact_duplicates
+from milepost.llm.hard_negatives import HARD_NEGATIVES_SQL, hard_negatives
 from milepost.llm.line_dedup import dedup_lines
 from milepost.llm.mixing import MIX_SQL, mix
 from milepost.llm.quality import QUALITY_SQL, quality
@@ -74,6 +75,10 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -87,6 +92,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_exact_dedup,
         op9_toxicity,
         op10_simhash_near_dedup,
+        op11_hard_negatives,
     )
 }
 
@@ -104,4 +110,5 @@ ORACLE: dict[str, str] = {
                row_number() OVER g = 1 AS kept, sha256(body) AS text_sha256
         FROM n WINDOW g AS (PARTITION BY body ORDER BY length(coalesce(text, '')) DESC, doc_id)
     """,
+    "op11_hard_negatives": HARD_NEGATIVES_SQL,
 }
