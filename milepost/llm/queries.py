@@ -11,6 +11,7 @@ from milepost.llm.chat import CHAT_SQL, perspectives
 from milepost.llm.common import table
 from milepost.llm.exact_dedup import exact_duplicates
 from milepost.llm.hard_negatives import HARD_NEGATIVES_SQL, hard_negatives
+from milepost.llm.lexical_search import SEARCH_SQL, ranked_search
 from milepost.llm.line_dedup import dedup_lines
 from milepost.llm.mixing import MIX_SQL, mix
 from milepost.llm.quality import QUALITY_SQL, quality
@@ -79,6 +80,10 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives(table(spark, sf_dir, "embeddings"))
 
 
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -93,6 +98,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_toxicity,
         op10_simhash_near_dedup,
         op11_hard_negatives,
+        op12_lexical_search,
     )
 }
 
@@ -111,4 +117,5 @@ ORACLE: dict[str, str] = {
         FROM n WINDOW g AS (PARTITION BY body ORDER BY length(coalesce(text, '')) DESC, doc_id)
     """,
     "op11_hard_negatives": HARD_NEGATIVES_SQL,
+    "op12_lexical_search": SEARCH_SQL,
 }
