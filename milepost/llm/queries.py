@@ -13,6 +13,7 @@ from milepost.llm.exact_dedup import exact_duplicates
 from milepost.llm.hard_negatives import HARD_NEGATIVES_SQL, hard_negatives
 from milepost.llm.lexical_search import SEARCH_SQL, ranked_search
 from milepost.llm.line_dedup import dedup_lines
+from milepost.llm.lm_scoring import lm_scores
 from milepost.llm.mixing import MIX_SQL, mix
 from milepost.llm.quality import QUALITY_SQL, quality
 from milepost.llm.sentencepiece import decode, encode
@@ -84,6 +85,10 @@ def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op13_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scores(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -99,6 +104,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_simhash_near_dedup,
         op11_hard_negatives,
         op12_lexical_search,
+        op13_lm_scoring,
     )
 }
 
