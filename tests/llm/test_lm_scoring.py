@@ -84,7 +84,7 @@ def check(spark, rows):
     key = lambda r: (r[0] is not None, r[0] or 0, r[2], r[5])
     got, expected = sorted(map(tuple, found.collect()), key=key), sorted(brute(rows), key=key)
     assert [r[:5] for r in got] == [r[:5] for r in expected]
-    assert [r[5] for r in got] == pytest.approx([r[5] for r in expected], rel=1e-9)
+    assert [r[5] for r in got] == pytest.approx([r[5] for r in expected], rel=1e-9, abs=1e-9)
     for column in (6, 7):
         assert [r[column] for r in got] == pytest.approx([r[column] for r in expected], rel=5e-4)
     return got
