@@ -142,15 +142,11 @@ def _monthly_name() -> Column:
     return F.format_string("%s_tripdata_%04d-%02d.parquet", "tipo_taxi", "anio", "mes")
 
 
-# Saved tables and monthly files per session and input folder.
-_WRITTEN: dict[tuple[str, str, str], str] = {}
-
-
 class StarTrips(TripSource):
     """Trips derived from ``lineitem``, ``orders``, ``customer``, ``supplier``.
 
     Lookups are left joins on unique keys, which neither drop nor repeat line items, so a
-    table no wanted column comes from is not joined at all.
+    table no wanted column comes from is not joined at all. ``table`` is a saved copy to answer from.
     """
 
     # Dates replace clock times in these tables: the cap is 360 days instead of 360 minutes.
@@ -176,19 +172,22 @@ class StarTrips(TripSource):
         digits=2,
     )
 
-    def __init__(self, spark: SparkSession, sf_dir: str, settings: Settings = SETTINGS) -> None:
-        self.spark, self.sf_dir, self.settings = spark, sf_dir.rstrip("/"), settings
+    def __init__(
+        self, spark: SparkSession, sf_dir: str, settings: Settings = SETTINGS, table: str | None = None
+    ) -> None:
+        self.spark, self.sf_dir, self.settings, self._copy = spark, sf_dir.rstrip("/"), settings, table
         self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
+        """One of the given tables."""
         if name not in self._tables:
             self._tables[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
         return self._tables[name]
 
     def trips(self, *columns: str, raw: bool = False) -> DataFrame:
         wanted = columns or tuple(VIAJES)
-        if not raw and self._written_key("viajes") in _WRITTEN:
-            return self.saved().select(*wanted)
+        if self._copy is not None and not raw:
+            return tables.read_trips(self.spark, self._copy).select(*wanted)
         joined = self.table("lineitem")
         if any(c in self.FROM_ORDERS for c in wanted):
             orders = self.table("orders")
@@ -267,26 +266,22 @@ class StarTrips(TripSource):
         """Of the given tables' own files."""
         return inventory.monthly_file_status(self.spark, self.sf_dir)
 
-    def _written_key(self, kind: str) -> tuple[str, str, str]:
-        return (self.spark.sparkContext.applicationId, self.sf_dir, kind)
-
-    def _write_once(self, kind: str, write) -> str:
-        key = self._written_key(kind)
-        if key not in _WRITTEN:
-            folder = new_folder(self.spark, kind)
-            write(folder)
-            _WRITTEN[key] = folder
-        return _WRITTEN[key]
-
+    @cached_property
     def saved_path(self) -> str:
-        return self._write_once("viajes", lambda folder: tables.write_trips(self.trips(raw=True), folder))
+        return self._copy or tables.write_trips(self.trips(raw=True), new_folder(self.spark, "viajes"))
 
     def saved(self) -> DataFrame:
-        return tables.read_trips(self.spark, self.saved_path())
+        """The table this source was given, else a copy that this source writes once; only this call reads it."""
+        return tables.read_trips(self.spark, self.saved_path)
+
+    @cached_property
+    def _files(self) -> FileTrips:
+        root = new_folder(self.spark, "mensual")
+        self._write_monthly_files(root)
+        return FileTrips(self.spark, root, table=self.saved_path, settings=self.settings)
 
     def files(self) -> FileTrips:
-        root = self._write_once("mensual", self._write_monthly_files)
-        return FileTrips(self.spark, root, table=self.saved_path(), settings=self.settings)
+        return self._files
 
     def _write_monthly_files(self, root: str) -> None:
         """Raw-shaped monthly files with drift: names per service, columns and types per era.

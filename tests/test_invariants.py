@@ -63,3 +63,23 @@ def test_filters_and_columns_reach_the_scan(source):
     assert "PushedFilters: [IsNotNull(l_quantity)" in plan
     assert "l_partkey" not in plan and "o_totalprice" not in plan
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_reports_answer_from_a_saved_table_only_if_it_is_given(spark, tmp_path):
+    """What ran before in the session changes neither plans nor rows."""
+    folder = str(tmp_path / "in")
+    for name in ("orders", "customer", "supplier", "lineitem"):
+        spark.read.parquet(f"{SF_DIR}/{name}.parquet").write.parquet(f"{folder}/{name}.parquet")
+    first = StarTrips(spark, folder)
+    n = REPORTS["q19_resumen_mensual_tabla"](first).agg(F.sum("viajes")).first()[0]
+    assert "l_shipdate" in REPORTS["q07_calidad_datos"](first)._jdf.queryExecution().optimizedPlan().toString()
+    on_table = StarTrips(spark, folder, table=first.saved_path)
+    plan = REPORTS["q07_calidad_datos"](on_table)._jdf.queryExecution().optimizedPlan().toString()
+    assert "l_shipdate" not in plan and "pickup_datetime" in plan
+    assert REPORTS["q19_resumen_mensual"](on_table).agg(F.sum("viajes")).first()[0] == n
+    # The tables change under the same path.
+    lineitem = spark.read.parquet(f"{SF_DIR}/lineitem.parquet")
+    lineitem.unionByName(lineitem).write.mode("overwrite").parquet(f"{folder}/lineitem.parquet")
+    second = StarTrips(spark, folder)
+    assert REPORTS["q19_resumen_mensual_tabla"](second).agg(F.sum("viajes")).first()[0] == 2 * n
+    assert REPORTS["q19_resumen_mensual"](second).agg(F.sum("viajes")).first()[0] == 2 * n
