@@ -30,6 +30,28 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """Tables that a step writes for itself; all but those it hands over go when the step is done."""
+
+    def __init__(self, spark: SparkSession) -> None:
+        self._spark, self._paths = spark, []
+
+    def saved(self, df: DataFrame, name: str) -> DataFrame:
+        """As :func:`saved`, for a table that nothing reads after this step."""
+        path = new_folder(self._spark, name)
+        self._paths.append(path)
+        df.write.parquet(path)
+        return self._spark.read.schema(df.schema).parquet(path)
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *failure) -> None:
+        hadoop = self._spark.sparkContext._jsc.hadoopConfiguration()
+        for path in map(self._spark._jvm.org.apache.hadoop.fs.Path, self._paths):
+            path.getFileSystem(hadoop).delete(path, True)
+
+
 def let(value: Column, body) -> Column:
     """``body(value)`` with ``value`` computed once per row.
 

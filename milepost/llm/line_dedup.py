@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from milepost.llm.common import WHITE, let, saved, words
+from milepost.llm.common import WHITE, Scratch, let, saved, words
 
 #: Lines of fewer words are duplicates only if they are equal.
 MIN_WORDS = 8
@@ -45,32 +45,64 @@ def lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     # Tested on the text: a filter on the words would split every line twice.
     filled = split.where(F.btrim("line", F.lit(WHITE)) != "")
     with_words = filled.select("doc_id", "text_key", "line_no", words(F.col("line")).alias("w"))
+
+    def keys(h: Column) -> Column:
+        return F.struct(F.xxhash64(F.lit(1), h).alias("g"), F.when(F.size(h) >= min_words, _halves(h)).alias("halves"))
+
     return with_words.select(
         F.struct("doc_id", "text_key", "line_no").alias("place"),
-        F.struct(F.xxhash64("w").alias("h"), F.xxhash64(F.lit(1), "w").alias("g")).alias("line_key"),
-        F.when(F.size("w") >= min_words, let(_hashes(F.col("w")), _halves)).alias("halves"),
-    )
+        F.xxhash64("w").alias("h"),
+        let(_hashes(F.col("w")), keys).alias("k"),
+    ).select("place", F.struct("h", "k.g").alias("line_key"), "k.halves")
 
 
-def _variants(candidates: DataFrame) -> DataFrame:
-    """Every line with each of its words deleted, and the line itself, as hashed keys.
+def _running(hashes: Column) -> Column:
+    """The exclusive or of the first elements up to each, in passes that reach twice as far each time."""
 
-    ``at`` is the place of the deleted word, and -1 for the line itself.
+    def reach(state: Column, far: Column) -> Column:
+        return F.transform(
+            state, lambda x, i: F.when(i < far, x).otherwise(x.bitwiseXOR(F.get(state, i - far)))
+        )
+
+    powers = F.array(*[F.lit(1 << k) for k in range(31)])
+    return let(hashes, lambda h: F.aggregate(F.filter(powers, lambda p: p < F.size(h)), h, reach))
+
+
+def _deletions(h: Column, seed: int) -> Column:
+    """A hash of the line without its word i, for each i, and last that of the whole line.
+
+    The hash of a word list is that of each word with its position, all joined by exclusive or. So a
+    deletion's hash is that of the words before, and that of the words after moved up by one.
     """
+    here = F.transform(h, lambda x, i: F.xxhash64(x, i, F.lit(seed)))
+    moved = F.transform(h, lambda x, i: F.xxhash64(x, i - 1, F.lit(seed)))
+
+    def every(x: Column) -> Column:
+        a, b, n = x["a"], x["b"], F.size(x["a"])
+        last = F.get(b, n - 1)
+        without = F.transform(
+            b, lambda y, i: y.bitwiseXOR(last).bitwiseXOR(F.coalesce(F.get(a, i - 1), F.lit(0).cast("long")))
+        )
+        return F.concat(without, F.array(F.get(a, n - 1)))
+
+    return let(F.struct(_running(here).alias("a"), _running(moved).alias("b")), every)
+
 
-    def every(h: Column) -> Column:
-        # The hash of two arrays in a row is that of their elements in a row, wherever the cut is.
-        itself = F.struct(F.xxhash64(h).alias("variant"), F.lit(-1).alias("at"))
+def _variants(candidates: DataFrame) -> DataFrame:
+    """``place, at, variant``: every line with each of its words deleted, and the line itself, as 128-bit keys.
 
-        def without(i: Column) -> Column:
-            rest = F.xxhash64(F.slice(h, 1, i), F.slice(h, i + 2, F.size(h)))
-            return F.struct(rest.alias("variant"), i.alias("at"))
+    ``at`` is the place of the deleted word, and -1 for the line itself.
+    """
 
-        return F.concat(F.array(itself), F.transform(F.sequence(F.lit(0), F.size(h) - 1), without))
+    def both(h: Column) -> Column:
+        keys = F.zip_with(_deletions(h, 1), _deletions(h, 2), lambda x, y: F.struct(x.alias("x"), y.alias("y")))
+        return F.transform(
+            keys, lambda k, i: F.struct(F.when(i < F.size(h), i).otherwise(-1).alias("at"), k.alias("variant"))
+        )
 
-    return candidates.select(
-        "line_key", "place", F.explode(let(_hashes(F.col("w")), every)).alias("v")
-    ).select("line_key", "place", "v.variant", "v.at")
+    # Nothing else of a long line goes with each of its variants.
+    found = candidates.select("place", F.explode(let(_hashes(F.col("w")), both)).alias("v"))
+    return found.select("place", "v.at", "v.variant")
 
 
 def _within_one(a: Column, b: Column) -> Column:
@@ -91,52 +123,48 @@ def _within_one(a: Column, b: Column) -> Column:
 
 def near_lines(found: DataFrame, docs: DataFrame) -> DataFrame:
     """``line_key`` of the distinct lines within one word edit of a line that stands earlier."""
-    distinct = saved(
-        found.groupBy("line_key").agg(F.min("place").alias("place"), F.first("halves").alias("halves")), "lines_first"
-    )
-    halves = distinct.where("halves IS NOT NULL").select("line_key", "place", F.explode("halves").alias("half"))
-    shared = halves.groupBy("half").agg(F.count("*").alias("n")).where("n > 1").select("half")
-    wanted = halves.join(shared, "half", "left_semi").select("line_key", "place").distinct()
-    # The words of candidate lines only, from their first places.
-    by_text = wanted.groupBy(F.col("place.doc_id").alias("id"), F.col("place.text_key").alias("key")).agg(
-        F.collect_list(F.struct(F.col("place.line_no").alias("line_no"), "line_key", "place")).alias("wanted")
-    )
-    text = _text(docs)
-    candidates = saved(
-        by_text.join(text, F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("key") == F.col("text_key")))
-        .select("wanted", F.split("text", "\n").alias("all_lines"))
-        .select("all_lines", F.explode("wanted").alias("x"))
-        .select("x.line_key", "x.place", words(F.get("all_lines", F.col("x.line_no"))).alias("w"))
-        .dropDuplicates(["line_key"]),
-        "line_candidates",
-    )
-    variants = saved(_variants(candidates), "line_variants")
+    with Scratch(docs.sparkSession) as scratch:
+        first = found.groupBy("line_key").agg(F.min("place").alias("place"), F.first("halves").alias("halves"))
+        distinct = scratch.saved(first.withColumn("line", F.monotonically_increasing_id()), "lines_first")
+        halves = distinct.where("halves IS NOT NULL").select("line", F.explode("halves").alias("half"))
+        shared = halves.groupBy("half").agg(F.count("*").alias("n")).where("n > 1").select("half")
+        wanted = distinct.drop("halves").join(halves.join(shared, "half", "left_semi").select("line"), "line", "left_semi")
+        # The words of candidate lines only, from their first places.
+        by_text = wanted.groupBy(F.col("place.doc_id").alias("id"), F.col("place.text_key").alias("key")).agg(
+            F.collect_list(F.struct(F.col("place.line_no").alias("line_no"), "line_key", "place")).alias("wanted")
+        )
+        text = _text(docs)
+        candidates = scratch.saved(
+            by_text.join(text, F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("key") == F.col("text_key")))
+            .select("wanted", F.split("text", "\n").alias("all_lines"))
+            .select("all_lines", F.explode("wanted").alias("x"))
+            .select("x.line_key", "x.place", words(F.get("all_lines", F.col("x.line_no"))).alias("w"))
+            .dropDuplicates(["line_key"]),
+            "line_candidates",
+        )
+        return saved(_near(candidates), "lines_near")
+
 
+def _near(candidates: DataFrame) -> DataFrame:
     # Lines with one word replaced meet at equal place and variant, lines with one inserted at
     # the variant that is the shorter line. Each links to the earliest it meets: no pairs.
+    variants = _variants(candidates)
     deleted = variants.where("at >= 0")
     replaced = deleted.groupBy("variant", "at").agg(F.min("place").alias("earliest"), F.count("*").alias("n")).where("n > 1")
     links_replaced = deleted.join(replaced.drop("n"), ["variant", "at"]).where("earliest < place")
-    whole = variants.where("at = -1").select("variant", F.col("place").alias("whole"), F.col("line_key").alias("whole_key"))
+    whole = variants.where("at = -1").select("variant", F.col("place").alias("whole"))
     inserted = deleted.join(whole, "variant")
-    longer = inserted.where("whole < place").select("line_key", "place", F.col("whole").alias("earliest"))
+    longer = inserted.where("whole < place").select("place", F.col("whole").alias("earliest"))
     shorter = (
         inserted.where("place < whole")
-        .groupBy("whole_key", "whole")
+        .groupBy("whole")
         .agg(F.min("place").alias("earliest"))
-        .select(F.col("whole_key").alias("line_key"), F.col("whole").alias("place"), "earliest")
+        .select(F.col("whole").alias("place"), "earliest")
     )
-    links = (
-        links_replaced.select("line_key", "place", "earliest")
-        .unionByName(longer)
-        .unionByName(shorter)
-        .select("line_key", "earliest")
-        .distinct()
-    )
-    own = candidates.select("line_key", "w")
+    links = links_replaced.select("place", "earliest").unionByName(longer).unionByName(shorter).distinct()
     other = candidates.select(F.col("place").alias("earliest"), F.col("w").alias("v"))
     return (
-        links.join(own, "line_key")
+        links.join(candidates, "place")
         .join(other, "earliest")
         .where(_within_one(F.col("w"), F.col("v")))
         .select("line_key")
@@ -160,7 +188,7 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     met by many lines is a count and a minimum, so no task holds its lines.
     """
     found = saved(lines(docs, min_words), "lines")
-    near = saved(near_lines(found, docs), "lines_near").withColumn("near", F.lit(True))
+    near = near_lines(found, docs).withColumn("near", F.lit(True))
     first = found.groupBy("line_key").agg(F.min("place").alias("first"), F.count("*").alias("n"))
     fate = first.join(near, "line_key", "left").where("n > 1 OR near")
     gone = (
@@ -173,16 +201,24 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
             F.collect_set(F.when(F.col("place") > F.col("first"), F.col("place.line_no"))).alias("gone_exact"),
         )
     )
+    # The given columns stay inside one, so that no name clashes with those of the join.
     names = [c for c in docs.columns if c not in ("n_exact_lines", "n_near_lines")]
-    keyed = docs.select(*names, F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("__key"))
+    keyed = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in names]).alias("doc"),
+        F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("doc_key"),
+    )
+    same = F.col("doc.doc_id").cast("long").eqNullSafe(F.col("gone_id")) & (F.col("doc_key") == F.col("gone_key"))
     kept = lambda x: F.array_except(F.sequence(F.lit(0), F.size(x) - 1), F.col("gone_lines"))
     rest = let(
-        F.split("text", "\n"), lambda x: F.array_join(F.transform(kept(x), lambda i: F.get(x, i)), "\n")
+        F.split("doc.text", "\n"), lambda x: F.array_join(F.transform(kept(x), lambda i: F.get(x, i)), "\n")
     )
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("gone_id")) & (F.col("__key") == F.col("gone_key"))
-    n_gone, n_exact = (F.coalesce(F.size(c), F.lit(0)).cast("long") for c in ("gone_lines", "gone_exact"))
+    some = F.col("gone_lines").isNotNull()
+    n_gone, n_exact = (F.when(some, F.size(c)).otherwise(0).cast("long") for c in ("gone_lines", "gone_exact"))
     return keyed.join(gone, same, "left").select(
-        *[F.when(F.col("gone_lines").isNotNull(), rest).otherwise(F.col("text")).alias("text") if c == "text" else c for c in names],
-        F.when(F.col("gone_lines").isNull(), 0).otherwise(n_exact).alias("n_exact_lines"),
-        F.when(F.col("gone_lines").isNull(), 0).otherwise(n_gone - n_exact).alias("n_near_lines"),
+        *[
+            F.when(some, rest).otherwise(F.col("doc.text")).alias("text") if c == "text" else F.col(f"doc.`{c}`").alias(c)
+            for c in names
+        ],
+        n_exact.alias("n_exact_lines"),
+        (n_gone - n_exact).alias("n_near_lines"),
     )

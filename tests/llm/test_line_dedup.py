@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import os
 import random
 import re
+import time
 
-from milepost.llm.line_dedup import dedup_lines
+from milepost.llm.line_dedup import _variants, dedup_lines
+from milepost.plans.workspace import shared_root
 
 SCHEMA = "doc_id long, text string, n_near_lines string, place string"
 
@@ -83,3 +86,43 @@ def test_repeated_rows_null_id_and_empty_table(spark):
     docs = spark.createDataFrame([(None, "x y", "", ""), (1, "x y", "", ""), (1, "x y", "", "")], SCHEMA)
     assert sorted((r.doc_id or 0, r.text) for r in dedup_lines(docs).collect()) == [(0, "x y"), (1, ""), (1, "")]
     assert dedup_lines(docs.limit(0)).collect() == []
+
+
+def test_a_very_long_line_with_a_near_copy(spark):
+    """Time grows little faster than the length of a line: 200,000 words take seconds."""
+    long = [f"w{i % 977}" for i in range(200_000)]
+    near = [*long[:90_000], "other", *long[90_001:]]
+    less = [*long[:150_000], *long[150_001:]]
+    rows = [(1, " ".join(long)), (2, " ".join(near)), (3, " ".join(less)), (4, " ".join([*near, "more"]))]
+    started = time.monotonic()
+    docs = spark.createDataFrame([(d, t, "", "") for d, t in rows], SCHEMA).repartition(4)
+    got = {r.doc_id: (r.n_near_lines, r.text == dict(rows)[r.doc_id]) for r in dedup_lines(docs).collect()}
+    assert got == {1: (0, True), 2: (1, False), 3: (1, False), 4: (1, False)}
+    assert time.monotonic() - started < 60
+
+
+def test_clashing_column_names(spark):
+    names = ("gone_lines", "gone_id", "gone_key", "gone_exact", "__key", "doc", "doc_key", "place", "line_key", "w", "a.b")
+    schema = "doc_id long, text string, " + ", ".join(f"`{n}` int" for n in names)
+    docs = spark.createDataFrame([(d, "one line\nmore", *range(len(names))) for d in (1, 2)], schema)
+    found = dedup_lines(docs)
+    assert found.columns == [*docs.columns, "n_exact_lines", "n_near_lines"]
+    assert sorted(tuple(r)[:2] for r in found.collect()) == [(1, "one line\nmore"), (2, "")]
+
+
+def test_variants_are_those_of_the_shorter_lists(spark):
+    rows = spark.createDataFrame([(n, [f"w{i % 5}" for i in range(n)]) for n in (1, 2, 3, 8, 9, 10, 17, 40)], "place int, w array<string>")
+    found = {(r.place, r.at): tuple(r.variant) for r in _variants(rows).collect()}
+    for n in (8, 9, 10, 17, 40):
+        w = [f"w{i % 5}" for i in range(n)]
+        without = spark.createDataFrame([(i, w[:i] + w[i + 1 :]) for i in range(n)], "place int, w array<string>")
+        whole = {r.place: tuple(r.variant) for r in _variants(without).where("at = -1").collect()}
+        assert [found[n, i] for i in range(n)] == [whole[i] for i in range(n)]
+
+
+def test_only_two_tables_are_left(spark):
+    docs = spark.createDataFrame([(d, f"{d} line of a few more words than eight in it", "", "") for d in range(20)], SCHEMA)
+    root = shared_root(spark).removeprefix("file://")
+    before = set(os.listdir(f"{root}/milepost"))
+    dedup_lines(docs).collect()
+    assert sorted(n.split("-")[0] for n in set(os.listdir(f"{root}/milepost")) - before) == ["lines", "lines_near"]
