@@ -20,11 +20,13 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 #: Symbols are the 256 bytes and the end of a text; words are closed by a space.
 SPACE, END, SYMBOLS = 32, 256, 257
-#: Each predictor's context is the last so many symbols.
-ORDERS = (3, 5, 6)
+#: Each predictor's context is the last so many symbols, and its table has 2**bits slots, less by so many bits.
+ORDERS, LESS = (3, 5, 6), (3, 1, 0)
 CONTEXTS = len(ORDERS)
-#: Table slots per context: one for so many training symbols, from 2**12 to 2**22 (what a task's memory holds).
-SYMBOLS_PER_SLOT, MIN_BITS, MAX_BITS = 256, 12, 22
+#: Largest table: a slot for so many training symbols, from 2**12 to 2**22 (what a task's memory holds).
+SYMBOLS_PER_SLOT, MIN_BITS, MAX_BITS = 4, 12, 22
+#: Contexts of two symbols that have a code of their own; after the others, the last symbol's code is used.
+TREES = 1024
 #: Smoothing of a slot's counts.
 SMOOTH = 0.3
 #: Weights of the contexts before any refinement, for each gate: whether training saw the second
@@ -32,13 +34,15 @@ SMOOTH = 0.3
 WEIGHTS = ((1.0, 0.0, 0.0), (0.4, 0.7, 0.0), (0.4, 0.0, 0.7), (0.3, 0.4, 0.5))
 GATES = len(WEIGHTS)
 #: Weights are refined after each ``STEP`` symbols of a text.
-STEP, RATE = 64, 0.005
-#: Symbols that a task works on at a time, and those before them that give their contexts.
-PIECE, BEFORE = 1 << 18, max(ORDERS)
+STEP, RATE = 128, 0.005
+#: Symbols that a task counts and scores at a time, and those before them that give their contexts.
+COUNTED, SCORED, BEFORE = 1 << 20, 1 << 18, max(ORDERS)
 #: Table slots per merged row.
 PART = 1 << 14
 #: Words whose counts are sent to tasks; the others meet theirs in a join.
 FREQUENT = 1 << 16
+#: Documents that a task hands on at a time.
+ROWS = 2000
 #: Base scores are summed as whole numbers of this unit, so that their order does not matter.
 UNIT = 1 << 36
 
@@ -50,39 +54,69 @@ def words(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "surrogatepass").translate(_LOWER).split()
 
 
+def _huffman(weights: np.ndarray) -> list[list[tuple[int, int]]]:
+    """Each symbol's path of decisions ``(number, bit)``.
+
+    Numbers go by pieces of the tree, five levels deep, so that a piece lies in 32 slots of a context.
+    """
+    heap = [(float(n), s) for s, n in enumerate(weights)]
+    heapq.heapify(heap)
+    children: list[tuple[int, int]] = []
+    while len(heap) > 1:
+        (n, a), (m, b) = heapq.heappop(heap), heapq.heappop(heap)
+        heapq.heappush(heap, (n + m, SYMBOLS + len(children)))
+        children.append((a, b))
+    paths: list[list[tuple[int, int]]] = [[] for _ in range(SYMBOLS)]
+    todo, pieces_so_far = [(heap[0][1], [], 0, 1)], 1
+    while todo:
+        at, path, piece, local = todo.pop()
+        if at < SYMBOLS:
+            paths[at] = path
+            continue
+        for bit, child in enumerate(children[at - SYMBOLS]):
+            below = (piece, 2 * local + bit)
+            if below[1] >= 32 and child >= SYMBOLS:
+                below, pieces_so_far = (pieces_so_far, 1), pieces_so_far + 1
+            todo.append((child, [*path, (32 * piece + local, bit)], *below))
+    return paths
+
+
 class Code:
-    """A Huffman code of the symbols: each is a path of yes-or-no decisions."""
-
-    def __init__(self, counts: np.ndarray) -> None:
-        heap = [(int(n) + 1, s, s) for s, n in enumerate(counts)]
-        heapq.heapify(heap)
-        children, node = {}, SYMBOLS
-        while len(heap) > 1:
-            (n, _, a), (m, _, b) = heapq.heappop(heap), heapq.heappop(heap)
-            children[node] = (a, b)
-            heapq.heappush(heap, (n + m, node, node))
-            node += 1
-        paths: list[list[tuple[int, int]]] = [[] for _ in range(SYMBOLS)]
-        level, number = [(heap[0][2], [])], 0
-        while level:  # from the root down, so that the first decisions have the lowest numbers
-            below = []
-            for at, path in level:
-                if at < SYMBOLS:
-                    paths[at] = path
-                    continue
-                below += [(child, [*path, (number, bit)]) for bit, child in enumerate(children[at])]
-                number += 1
-            level = below
+    """Codes of the symbols, one after each last symbol and after the most frequent pairs.
+
+    ``pairs`` counts ``(last symbol, symbol)``, and ``triples`` the symbols after some pairs, all
+    plus one and 0 for nothing. Codes give likely symbols short paths, and every symbol some path.
+    """
+
+    def __init__(self, pairs: np.ndarray, triples: dict[tuple[int, int], np.ndarray]) -> None:
+        # Unseen symbols count a little, those seen after the last symbol alone a little more.
+        single = (pairs.sum(0) + 1) / (pairs.sum() + SYMBOLS)
+        backed = pairs + single
+        self.tree = np.tile(np.arange(SYMBOLS + 1, dtype=np.int32), SYMBOLS + 1)
+        weights = list(backed)
+        for (before, last), counts in sorted(triples.items()):
+            self.tree[before * (SYMBOLS + 1) + last] = len(weights)
+            weights.append(counts + backed[last] / backed[last].sum())
+        paths = [path for w in weights for path in _huffman(w)]
         self.length = np.array([len(p) for p in paths], dtype=np.int32)
         self.start = (np.cumsum(self.length) - self.length).astype(np.int32)
-        self.node = np.array([node for p in paths for node, _ in p], dtype=np.uint32)
-        self.bit = np.array([bit for p in paths for _, bit in p], dtype=np.uint32)
+        self.node = np.array([node for p in paths for node, _ in p], dtype=np.uint16)
+        self.bit = np.array([bit for p in paths for _, bit in p], dtype=np.uint8)
+
+    def after(self, symbols: np.ndarray) -> np.ndarray:
+        """Where the codes of each position begin, given the symbols before it (plus one, 0 between texts)."""
+        last, before = np.zeros(len(symbols), dtype=np.int32), np.zeros(len(symbols), dtype=np.int32)
+        last[1:], before[2:] = symbols[:-1], symbols[:-2]
+        last[last == 0] = before[before == 0] = SPACE + 1
+        before[last == SPACE + 1] = 0
+        return self.tree[before * (SYMBOLS + 1) + last] * SYMBOLS
 
-    def slots(self, bits: int) -> np.ndarray:
-        """What each decision adds to its context's place: the first 32 stay in one stretch of the table."""
-        high = (self.node >> np.uint32(5)).astype(np.uint64)
-        spread = (high * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(64 - bits + 5)
-        return ((spread << np.uint64(5)) | (self.node & np.uint32(31))).astype(np.uint32)
+    def shifts(self, bits: int) -> np.ndarray:
+        """What a decision's number adds to its context's place."""
+        number = np.arange(1 << 16, dtype=np.uint64)
+        spread = ((number >> np.uint64(5)) * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(64 - bits + 5)
+        spread[:32] = 0
+        return ((spread << np.uint64(5)) | (number & np.uint64(31))).astype(np.uint32)
 
 
 def places(symbols: np.ndarray, bits: int) -> list[np.ndarray]:
@@ -91,6 +125,7 @@ def places(symbols: np.ndarray, bits: int) -> list[np.ndarray]:
     Zeros stand between texts; what lies before a text's start counts as zero.
     """
     v, apart = symbols.astype(np.uint64), symbols == 0
+    less = dict(zip(ORDERS, LESS))
     after = np.arange(len(v)) - np.maximum.accumulate(np.where(apart, np.arange(len(v)), 0))  # symbols since the last zero
     found, key, mix = [], np.zeros(len(v), dtype=np.uint64), np.uint64(0x9FB21C651E98DF25)
     for back in range(1, max(ORDERS) + 1):
@@ -99,55 +134,78 @@ def places(symbols: np.ndarray, bits: int) -> list[np.ndarray]:
         if back in ORDERS:
             mixed = key + np.uint64(back)
             mixed = (mixed ^ (mixed >> np.uint64(29))) * mix
-            found.append((mixed >> np.uint64(64 - bits)).astype(np.uint32))
+            found.append((mixed >> np.uint64(64 - bits + less[back])).astype(np.uint32))
     return found
 
 
+Part = tuple[int, int, np.ndarray, int]
+"""Text, position of the first symbol, symbols plus one, and how many of them only give context."""
+
+
 class Piece:
-    """A stretch of texts as decisions: table slots, bits, and the text and position of each."""
+    """A stretch of texts: of each symbol its text, position and path of decisions, and the places of its contexts."""
 
-    def __init__(self, parts: list[tuple[int, int, np.ndarray, int]], code: Code, bits: int, in_steps: bool) -> None:
-        """``parts`` holds ``text, position of the first symbol, symbols plus one, how many only give context``."""
+    def __init__(self, parts: list[Part], code: Code, bits: int) -> None:
         gap = np.zeros(1, dtype=np.uint16)
         flat = np.concatenate([x for _, _, symbols, _ in parts for x in (gap, symbols)])
         at = np.cumsum([1 + len(symbols) for _, _, symbols, _ in parts]) - [len(symbols) for _, _, symbols, _ in parts]
         coded = [np.arange(a + skip, a + len(symbols)) for a, (_, _, symbols, skip) in zip(at, parts)]
-        sizes = [len(c) for c in coded]
-        chosen = np.concatenate(coded)
-        text = np.repeat(np.arange(len(parts)), sizes)
-        if in_steps:
-            starts = np.cumsum(sizes) - sizes
-            position = np.arange(len(chosen)) - np.repeat(starts - [first for _, first, _, _ in parts], sizes)
-            step = position // STEP
-            step -= step.min(initial=0)
-            order = np.argsort(step, kind="stable")
-            chosen, text, step = chosen[order], text[order], step[order]
-        symbols = flat[chosen].astype(np.int32) - 1
-        length = code.length[symbols]
-        self.ends = np.cumsum(length)
-        of = np.repeat(np.arange(len(chosen), dtype=np.int32), length)
-        decision = np.arange(len(of), dtype=np.int32) + np.repeat(
-            code.start[symbols] - (self.ends - length).astype(np.int32), length
-        )
-        shift, self.bit = code.slots(bits)[decision], code.bit[decision]
-        self.slots = [place[chosen][of] ^ shift for place in places(flat, bits)]
-        if in_steps:
-            self.text = text[of]
-            # Where each step's decisions end.
-            last = np.flatnonzero(np.diff(step, append=-1))
-            self.steps = self.ends[last]
-
-
-def pieces(texts: Iterator[tuple[int, bytes]]) -> Iterator[list[tuple[int, int, np.ndarray, int]]]:
-    """Texts in lists of about ``PIECE`` symbols; a longer one goes on in the next lists."""
+        self.code, self.sizes, chosen = code, [len(c) for c in coded], np.concatenate(coded)
+        self.path = code.after(flat)[chosen] + flat[chosen].astype(np.int32) - 1
+        self.places = [place[chosen] for place in places(flat, bits)]
+        self.shifts = [code.shifts(bits - less) for less in LESS]
+
+    def count(self, tables: list[np.ndarray]) -> None:
+        """Add the decisions to the tables of counts; symbols with equal contexts are added up first."""
+        path = self.path.astype(np.uint64)
+        for group in ((0,), (1, 2)):  # what fits in 64 bits
+            key = path
+            for k in group:
+                key = (key << np.uint64(MAX_BITS - LESS[k])) | self.places[k].astype(np.uint64)
+            key = np.sort(key)
+            first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+            times, key = np.diff(first, append=len(key)).astype(np.int32), key[first]
+            own = {}
+            for k in reversed(group):
+                width = np.uint64(MAX_BITS - LESS[k])
+                own[k] = (key & ((np.uint64(1) << width) - np.uint64(1))).astype(np.uint32)
+                key = key >> width
+            of, decision = self._decisions(key.astype(np.int32))
+            node, bit, times = self.code.node[decision], self.code.bit[decision], times[of]
+            for k in group:
+                slots = own[k][of] ^ self.shifts[k][node]
+                np.add.at(tables[k], ((slots << np.uint32(1)) | bit).astype(np.intp), times)
+
+    def _decisions(self, path: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """For all decisions of some paths: which path, and where its number and bit are."""
+        length = self.code.length[path]
+        of = np.repeat(np.arange(len(path), dtype=np.int32), length)
+        begins = np.cumsum(length, dtype=np.int32) - length
+        return of, np.arange(len(of), dtype=np.int32) + (self.code.start[path] - begins)[of]
+
+    def in_steps(self, parts: list[Part]) -> tuple[np.ndarray, np.ndarray, list[np.ndarray], np.ndarray]:
+        """Text, bit and slots of every decision by steps, and where each step's decisions end."""
+        text = np.repeat(np.arange(len(parts)), self.sizes)
+        starts = np.cumsum(self.sizes) - self.sizes
+        step = (np.arange(len(text)) - np.repeat(starts - [first for _, first, _, _ in parts], self.sizes)) // STEP
+        order = np.argsort(step, kind="stable")
+        of, decision = self._decisions(self.path[order])
+        node = self.code.node[decision]
+        slots = [place[order][of] ^ shift[node] for place, shift in zip(self.places, self.shifts)]
+        last = np.flatnonzero(np.diff(step[order], append=-1))
+        return text[order][of], self.code.bit[decision], slots, np.searchsorted(of, last, side="right")
+
+
+def pieces(texts: Iterator[tuple[int, bytes]], most: int) -> Iterator[list[Part]]:
+    """Texts in lists of about ``most`` symbols; a longer one goes on in the next lists."""
     held, size = [], 0
     for text, data in texts:
         symbols = np.append(np.frombuffer(data, dtype=np.uint8).astype(np.uint16) + 1, np.uint16(END + 1))
-        for at in range(0, len(symbols), PIECE):
+        for at in range(0, len(symbols), most):
             skip = min(at, BEFORE)
-            held.append((text, at, symbols[at - skip : at + PIECE], skip))
+            held.append((text, at, symbols[at - skip : at + most], skip))
             size += len(held[-1][2])
-            if size >= PIECE:
+            if size >= most:
                 yield held
                 held, size = [], 0
     if held:
@@ -159,21 +217,25 @@ def _stream(text: str | None) -> bytes:
     return b" ".join(found) + b" " if found else b""
 
 
+def sizes(bits: int) -> list[int]:
+    """Slots of each context's table."""
+    return [1 << (bits - less) for less in LESS]
+
+
 def _count(code: Code, bits: int):
     """Counts of a task's texts, as the used slots of each part of the tables."""
 
     def run(batches):
         import pyarrow as pa
 
-        tables = [np.zeros(2 << bits, dtype=np.int32) for _ in range(CONTEXTS)]
+        tables = [np.zeros(2 * size, dtype=np.int32) for size in sizes(bits)]
         texts = ((0, _stream(text.as_py())) for batch in batches for text in batch.column("text"))
-        for parts in pieces(texts):
-            piece = Piece(parts, code, bits, in_steps=False)
-            for table, slots in zip(tables, piece.slots):
-                np.add.at(table, ((slots << np.uint32(1)) | piece.bit).astype(np.intp), np.int32(1))
-        part = min(PART, 1 << bits)
-        for k, table in enumerate(tables):
-            for first in range(0, 1 << bits, part):
+        for parts in pieces(texts, COUNTED):
+            Piece(parts, code, bits).count(tables)
+        at = 0
+        for table, size in zip(tables, sizes(bits)):
+            part = min(PART, size)
+            for first in range(0, size, part):
                 own = table[2 * first : 2 * (first + part)].reshape(part, 2)
                 used = np.flatnonzero(own.any(1))
                 if len(used):
@@ -181,17 +243,18 @@ def _count(code: Code, bits: int):
                     kind = next(t for t in (np.uint8, np.uint16, np.uint32) if counts.max() <= np.iinfo(t).max)
                     yield pa.RecordBatch.from_arrays(
                         [
-                            pa.array([(k << bits) + first], pa.int64()),
+                            pa.array([at + first], pa.int64()),
                             pa.array([used.astype(np.uint16).tobytes()], pa.binary()),
                             pa.array([counts.astype(kind).tobytes()], pa.binary()),
                         ],
                         ["first", "used", "counts"],
                     )
+            at += size
 
     return run
 
 
-def _merge(part: int):
+def _merge():
     """Sum the counts of each part of the tables; rows come in order of ``first``, one part at a time is held."""
 
     def run(batches):
@@ -201,7 +264,7 @@ def _merge(part: int):
             odds = np.log((counts[:, 1] + SMOOTH) / (counts[:, 0] + SMOOTH)).astype(np.float32)
             return pa.RecordBatch.from_arrays([pa.array([first], pa.int64()), pa.array([odds.tobytes()])], ["first", "odds"])
 
-        now, counts = None, np.zeros((part, 2), dtype=np.int64)
+        now, counts = None, np.zeros((PART, 2), dtype=np.int64)
         for batch in batches:
             for row in batch.to_pylist():
                 if now is not None and row["first"] != now:
@@ -227,26 +290,26 @@ class Mixer:
         """The natural logarithm of each text's probability."""
         total: dict[int, float] = {}
         kept: tuple[int | None, np.ndarray | None] = (None, None)  # weights of a text that goes on
-        for parts in pieces(texts):
-            piece = Piece(parts, self.code, self.bits, in_steps=True)
+        for parts in pieces(texts, SCORED):
+            text, *decisions = Piece(parts, self.code, self.bits).in_steps(parts)
             weights = np.tile(np.array(WEIGHTS, dtype=np.float32), (len(parts), 1))
             if parts[0][0] == kept[0]:
                 weights[:GATES] = kept[1]
-            logs = self._mixed(piece, weights)
-            sums = np.bincount(piece.text, logs, minlength=len(parts))
-            for (text, *_), value in zip(parts, sums.tolist()):
-                total[text] = total.get(text, 0.0) + value
+            sums = np.bincount(text, self._mixed(text, *decisions, weights), minlength=len(parts))
+            for (name, *_), value in zip(parts, sums.tolist()):
+                total[name] = total.get(name, 0.0) + value
             kept = (parts[-1][0], weights[-GATES:].copy())
         return total
 
-    def _mixed(self, piece: Piece, weights: np.ndarray) -> np.ndarray:
-        odds = [table.take(slots) for table, slots in zip(self.odds, piece.slots)]
-        key = piece.text * GATES + (odds[1] != 0) + 2 * (odds[2] != 0)
-        sign = piece.bit.astype(np.float32) * 2 - 1
+    def _mixed(self, text, bit, slots, steps, weights: np.ndarray) -> np.ndarray:
+        """The logarithm of each decision's probability; ``weights`` are refined."""
+        odds = [table.take(own) for table, own in zip(self.odds, slots)]
+        key = text * GATES + (odds[1] != 0) + 2 * (odds[2] != 0)
+        sign = bit.astype(np.float32) * 2 - 1
         rows = [np.ascontiguousarray(weights[:, k]) for k in range(CONTEXTS)]
         margin, spare = np.empty_like(sign), np.empty_like(sign)
         begin = 0
-        for end in piece.steps.tolist():
+        for end in steps.tolist():
             here = slice(begin, end)
             begin, own, t, q = end, key[here], margin[here], spare[here]
             np.multiply(rows[0].take(own), odds[0][here], out=t)
@@ -277,28 +340,42 @@ def _tokens(batches):
         for text in batch.column("text"):
             found.update(words(text.as_py()))
             found[b""] += 1
-            if len(found) >= 1 << 19:
+            if len(found) >= 1 << 18:
                 yield flush(found)
                 found = Counter()
     if found:
         yield flush(found)
 
 
-def _histogram(batches):
-    """Symbols of the training texts, from the counts of their words."""
+def _triples(batches):
+    """How often each symbol follows two others within a word, from the counts of the words."""
     import pyarrow as pa
 
-    total = np.zeros(SYMBOLS)
     for batch in batches:
-        tokens, counts = batch.column("token"), batch.column("c").to_numpy().astype(float)
-        lengths = np.diff(np.frombuffer(tokens.buffers()[1], dtype=np.int32)[tokens.offset : tokens.offset + len(tokens) + 1])
-        data = np.frombuffer(b"".join(tokens.to_pylist()), dtype=np.uint8)
-        total[:256] += np.bincount(data, np.repeat(counts, lengths), minlength=256)
-        total[SPACE] += counts[lengths > 0].sum()
-        total[END] += counts[lengths == 0].sum()
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(range(SYMBOLS), pa.int32()), pa.array(total.astype(np.int64), pa.int64())], ["symbol", "n"]
-    )
+        tokens, counts = batch.column("token").to_pylist(), batch.column("c").to_numpy()
+        kept = [token for token in tokens if token]
+        numbers = counts[[bool(token) for token in tokens]] if kept else counts[:0]
+        data = np.frombuffer(b"".join(b" " + token + b" " for token in kept), dtype=np.uint8).astype(np.int64) + 1
+        lengths = np.array([len(token) + 2 for token in kept], dtype=np.int64)
+        first = np.zeros(len(data), dtype=bool)
+        first[np.cumsum(lengths) - lengths] = True
+        last, before = np.roll(data, 1), np.roll(data, 2)
+        before[last == SPACE + 1] = 0
+        key = ((before * (SYMBOLS + 1) + last) * (SYMBOLS + 1) + data)[~first]
+        keys, at = np.unique(key, return_inverse=True)
+        sums = np.bincount(at, np.repeat(numbers, lengths)[~first], minlength=len(keys)).astype(np.int64)
+        end = sum(c for token, c in zip(tokens, counts.tolist()) if not token)
+        keys = np.append(keys, (SPACE + 1) * (SYMBOLS + 1) + END + 1)
+        sums = np.append(sums, end)
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(keys // (SYMBOLS + 1) ** 2, pa.int32()),
+                pa.array(keys // (SYMBOLS + 1) % (SYMBOLS + 1), pa.int32()),
+                pa.array(keys % (SYMBOLS + 1), pa.int32()),
+                pa.array(sums, pa.int64()),
+            ],
+            ["before", "last", "symbol", "n"],
+        )
 
 
 _SCORED = (
@@ -309,58 +386,78 @@ _SCORED = (
 
 def _score(mixer: Mixer, frequent: dict[bytes, int]):
     """A row per document: the model's score, the base score of frequent words, and the other words."""
+    units = {word: round(math.log10(c + 0.5) * UNIT) for word, c in frequent.items()}
 
-    def units(c: int) -> int:
-        return round(math.log10(c + 0.5) * UNIT)
-
-    def run(batches):
+    def rows_of(part):
         import pyarrow as pa
 
+        streams, plain, ends, rare, numbers = [], [], [0], [], []
+        for text in part.column("text"):
+            streams.append(_stream(text.as_py()))
+            found = Counter(streams[-1].split())
+            found[b""] = 1
+            known = total = 0
+            for word, n in found.items():
+                if word in units:
+                    known += n
+                    total += units[word] * n
+                else:
+                    rare.append(word)
+                    numbers.append(n)
+            ends.append(len(rare))
+            plain.append((found.total(), known, total, len(streams[-1]) + 1))
+        # Texts of one length together, so that few steps are of few texts.
+        order = sorted(range(len(streams)), key=lambda i: len(streams[i]))
+        scores = mixer.score((i, streams[i]) for i in order)
+        others = pa.StructArray.from_arrays([pa.array(rare, pa.binary()), pa.array(numbers, pa.int64())], ["token", "n"])
+        return pa.RecordBatch.from_arrays(
+            [
+                part.column("doc_id"),
+                part.column("held_out"),
+                *(pa.array([r[c] for r in plain], pa.int64()) for c in range(4)),
+                pa.array([scores[i] / math.log(10) for i in range(len(plain))], pa.float64()),
+                pa.ListArray.from_arrays(pa.array(ends, pa.int32()), others),
+            ],
+            ["doc_id", "held_out", "n_tokens", "n_frequent", "frequent_units", "n_symbols", "score", "rare"],
+        )
+
+    def run(batches):
         for batch in batches:
-            texts = [text.as_py() for text in batch.column("text")]
-            streams, rows = [], []
-            for text in texts:
-                found = Counter(words(text))
-                found[b""] = 1
-                known = [(frequent[w], n) for w, n in found.items() if w in frequent]
-                rare = [{"token": w, "n": n} for w, n in found.items() if w not in frequent]
-                streams.append(_stream(text))
-                rows.append((found.total(), sum(n for _, n in known), sum(units(c) * n for c, n in known), rare))
-            scores = mixer.score(enumerate(streams))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("doc_id"),
-                    batch.column("held_out"),
-                    *(pa.array([r[c] for r in rows], pa.int64()) for c in range(3)),
-                    pa.array([len(s) + 1 for s in streams], pa.int64()),
-                    pa.array([scores[i] / math.log(10) for i in range(len(rows))], pa.float64()),
-                    pa.array([r[3] for r in rows], pa.list_(pa.struct([("token", pa.binary()), ("n", pa.int64())]))),
-                ],
-                ["doc_id", "held_out", "n_tokens", "n_frequent", "frequent_units", "n_symbols", "score", "rare"],
-            )
+            for at in range(0, batch.num_rows, ROWS):
+                yield rows_of(batch.slice(at, ROWS))
 
     return run
 
 
 def train(texts: DataFrame, tokens: DataFrame) -> Mixer:
-    """The code and the tables, counted over all ``texts``; ``tokens`` are the counts of their words."""
-    histogram = np.zeros(SYMBOLS, dtype=np.int64)
-    counted = tokens.mapInArrow(_histogram, "symbol int, n long").groupBy("symbol").agg(F.sum("n").alias("n"))
-    for symbol, n in counted.collect():  # 257 rows
-        histogram[symbol] = n
-    code = Code(histogram)
-    slots = max(1, int(histogram.sum()) // SYMBOLS_PER_SLOT)
+    """The codes and the tables, counted over all ``texts``; ``tokens`` are the counts of their words."""
+    triples = saved(
+        tokens.mapInArrow(_triples, "before int, last int, symbol int, n long")
+        .groupBy("before", "last", "symbol")
+        .agg(F.sum("n").alias("n"))
+        .where("n > 0"),
+        "triples",
+    )
+    pairs = np.zeros((SYMBOLS + 1, SYMBOLS), dtype=np.int64)
+    for last, symbol, n in triples.groupBy("last", "symbol").agg(F.sum("n")).collect():  # 66,306 rows at most
+        pairs[last, symbol - 1] = n
+    often = triples.groupBy("before", "last").agg(F.sum("n").alias("all")).orderBy(F.desc("all"), "before", "last").limit(TREES)
+    after: dict[tuple[int, int], np.ndarray] = {}
+    for before, last, symbol, n in triples.join(often, ["before", "last"]).select("before", "last", "symbol", "n").collect():
+        after.setdefault((before, last), np.zeros(SYMBOLS, dtype=np.int64))[symbol - 1] = n  # 257 rows a context
+    code = Code(pairs, after)
+    slots = max(1, int(pairs.sum()) // SYMBOLS_PER_SLOT)
     bits = min(max(slots.bit_length(), MIN_BITS), MAX_BITS)
-    part = min(PART, 1 << bits)
     given = texts.sparkSession.sparkContext.broadcast((code, bits))
     counts = texts.select("text").mapInArrow(
         lambda batches: _count(*given.value)(batches), "first long, used binary, counts binary"
     )
-    merged = counts.repartition("first").sortWithinPartitions("first").mapInArrow(_merge(part), "first long, odds binary")
-    odds = np.zeros(CONTEXTS << bits, dtype=np.float32)
-    for first, values in saved(merged, "odds").toLocalIterator():  # at most 48 MB in all, whatever the corpus
-        odds[first : first + part] = np.frombuffer(values, dtype=np.float32)
-    return Mixer(code, bits, list(odds.reshape(CONTEXTS, -1)))
+    merged = counts.repartition("first").sortWithinPartitions("first").mapInArrow(_merge(), "first long, odds binary")
+    odds = np.zeros(sum(sizes(bits)), dtype=np.float32)
+    for first, values in saved(merged, "odds").toLocalIterator():  # at most 26 MB in all, whatever the corpus
+        size = min(len(values) // 4, len(odds) - first)
+        odds[first : first + size] = np.frombuffer(values, dtype=np.float32)[:size]
+    return Mixer(code, bits, np.split(odds, np.cumsum(sizes(bits))[:-1]))
 
 
 def _held_out(doc_id: Column) -> Column:
@@ -378,8 +475,8 @@ def lm_scores(docs: DataFrame) -> DataFrame:
     of their own. If no row is left to learn from, counts are 0 and every decision is even. An empty
     table gives no rows; other columns are ignored.
 
-    Each byte is a path of decisions in a code that gives frequent bytes short paths. For every
-    decision, each context's hash names a slot with the counts seen in training. Counts are
+    Each byte is a path of decisions in a code that gives the bytes likely after the last two short
+    paths. For every decision, each context's hash names a slot with the counts seen in training. Counts are
     gathered over all training texts: tasks count on their own, and parts of the tables are
     summed. A text is scored by the slots' odds, weighted by a set of weights for each gate; after
     ``STEP`` symbols the text's weights move along the errors made. Texts do not influence each other, so

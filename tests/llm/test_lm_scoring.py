@@ -35,11 +35,23 @@ def brute(rows):
     training = [text for doc_id, text in rows if not held_out(doc_id)]
     tokens = Counter(t for text in training for t in [*words(text), None])
     n, v = tokens.total(), len(tokens)
-    counts = np.bincount([s for text in training for s in symbols(text)] or [0], minlength=257)
-    code = Code(counts if training else np.zeros(257, int))
-    n_bits = max((counts.sum() // module.SYMBOLS_PER_SLOT).item().bit_length() if training else 0, module.MIN_BITS)
-    shift = code.slots(n_bits)
-    path = [list(zip(shift[a : a + m], code.bit[a : a + m])) for a, m in zip(code.start, code.length)]
+    after = lambda s, i: (0, 33) if not i or s[i - 1] == 32 else (s[i - 2] + 1 if i > 1 else 33, s[i - 1] + 1)
+    pairs, triples = np.zeros((258, 257), int), defaultdict(lambda: np.zeros(257, int))
+    for s in map(symbols, training):
+        for i, x in enumerate(s):
+            pairs[after(s, i)[1], x] += 1
+            triples[after(s, i)][x] += 1
+    often = sorted(triples, key=lambda c: (-triples[c].sum(), c))[: module.TREES]
+    code = Code(pairs, {c: triples[c] for c in often})
+    n_bits = max((int(pairs.sum()) // module.SYMBOLS_PER_SLOT).bit_length() if training else 0, module.MIN_BITS)
+    shifts = [code.shifts(n_bits - less) for less in module.LESS]
+
+    def path(s, i):
+        last, before = after(s, i)[1], after(s, i)[0]
+        at = code.tree[before * 258 + last] * 257 + s[i]
+        steps = slice(code.start[at], code.start[at] + code.length[at])
+        return [([int(shift[node]) for shift in shifts], bit) for node, bit in zip(code.node[steps], code.bit[steps])]
+
     seen = [defaultdict(lambda: [0, 0]) for _ in ORDERS]
 
     def slots(s):
@@ -49,10 +61,10 @@ def brute(rows):
     for text in training:
         s = symbols(text)
         at = slots(s)
-        for i, x in enumerate(s):
-            for node, bit in path[x]:
+        for i in range(len(s)):
+            for shift, bit in path(s, i):
                 for k in range(len(ORDERS)):
-                    seen[k][at[k][i] ^ int(node)][bit] += 1
+                    seen[k][at[k][i] ^ shift[k]][bit] += 1
     out = []
     for doc_id, text in rows:
         own = Counter([*words(text), None])
@@ -63,8 +75,8 @@ def brute(rows):
         for begin in range(0, len(s), STEP):
             gradient = np.zeros((GATES, len(ORDERS)))
             for i in range(begin, min(begin + STEP, len(s))):
-                for node, bit in path[s[i]]:
-                    found = [seen[k].get(at[k][i] ^ int(node), [0, 0]) for k in range(len(ORDERS))]
+                for shift, bit in path(s, i):
+                    found = [seen[k].get(at[k][i] ^ shift[k], [0, 0]) for k in range(len(ORDERS))]
                     odds = [math.log((c[1] + SMOOTH) / (c[0] + SMOOTH)) for c in found]
                     gate = (odds[1] != 0) + 2 * (odds[2] != 0)
                     t = (2 * int(bit) - 1) * sum(w * x for w, x in zip(weights[gate], odds))
@@ -99,7 +111,9 @@ def corpus(n, seed=3):
 
 def test_against_plain_model(spark, monkeypatch):
     monkeypatch.setattr(module, "FREQUENT", 20)
-    monkeypatch.setattr(module, "PIECE", 1024)
+    monkeypatch.setattr(module, "TREES", 30)
+    monkeypatch.setattr(module, "COUNTED", 1024)
+    monkeypatch.setattr(module, "SCORED", 512)
     check(spark, corpus(120))
 
 
@@ -111,7 +125,8 @@ def test_nulls_ties_repeated_rows_and_other_bytes(spark):
 def test_long_text_in_pieces_and_order_do_not_matter(spark, monkeypatch):
     rows = [*corpus(30), (50, "x" * 5_000), (51, " ".join(["an berco"] * 2_000))]
     whole = check(spark, rows)
-    monkeypatch.setattr(module, "PIECE", 256)
+    monkeypatch.setattr(module, "COUNTED", 256)
+    monkeypatch.setattr(module, "SCORED", 256)
     cut = check(spark, rows[::-1])
     assert [r[6] for r in cut] == pytest.approx([r[6] for r in whole], rel=5e-4)
 
@@ -130,11 +145,19 @@ def test_held_out_texts_are_better_than_by_words(spark):
     assert all(r.score < 0 and 0 < r.bits_per_byte for r in rows)
 
 
-def test_code_is_complete():
-    code = Code(np.arange(257))
-    paths = [tuple(zip(code.node[a : a + m], code.bit[a : a + m])) for a, m in zip(code.start, code.length)]
-    assert sum(2.0 ** -len(p) for p in paths) == 1 and len(set(paths)) == 257
-    assert {node for p in paths for node, _ in p} == set(range(256))
+def test_codes_are_complete():
+    pairs = np.zeros((258, 257), int)
+    pairs[5, 7], pairs[5, 8], pairs[33] = 10, 90, np.arange(257)
+    code = Code(pairs, {(3, 5): pairs[5] * 2})
+    assert len(code.length) == 259 * 257 and code.tree[3 * 258 + 5] == 258 and code.tree[4 * 258 + 5] == 5
+    for tree in (0, 5, 33, 258):
+        paths = [
+            tuple(zip(code.node[a : a + m].tolist(), code.bit[a : a + m].tolist()))
+            for a, m in zip(code.start[tree * 257 :][:257], code.length[tree * 257 :][:257])
+        ]
+        assert sum(2.0 ** -len(p) for p in paths) == 1 and len(set(paths)) == 257
+        assert len({node for p in paths for node, _ in p}) == 256
+    assert code.length[5 * 257 + 8] == 1
 
 
 def test_places_follow_the_last_symbols_alone():
