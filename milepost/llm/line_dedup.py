@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from milepost.llm.common import WHITE, Scratch, let, saved, words
@@ -20,7 +20,7 @@ def _text(docs: DataFrame) -> DataFrame:
 
 
 def _halves(h: Column) -> Column:
-    """Hashes of the first and of the last words of a line, given its words' hashes.
+    """``last, half``: hashes of the first and of the last words of a line, given its words' hashes.
 
     Of two lines one edit apart, both keep their first or their last ``(n - 1) // 2`` words,
     where n is the shorter length; a line gives the keys for its own length and one less.
@@ -29,7 +29,8 @@ def _halves(h: Column) -> Column:
     def keys(n: Column) -> Column:
         m = F.floor((n - 1) / 2).cast("int")
         return F.array(
-            F.xxhash64(F.lit(1), m, F.slice(h, 1, m)), F.xxhash64(F.lit(2), m, F.slice(h, F.size(h) - m + 1, m))
+            F.struct(F.lit(False).alias("last"), F.xxhash64(F.lit(1), m, F.slice(h, 1, m)).alias("half")),
+            F.struct(F.lit(True).alias("last"), F.xxhash64(F.lit(2), m, F.slice(h, F.size(h) - m + 1, m)).alias("half")),
         )
 
     return F.array_distinct(F.concat(keys(F.size(h)), keys(F.size(h) - 1)))
@@ -47,62 +48,59 @@ def lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     with_words = filled.select("doc_id", "text_key", "line_no", words(F.col("line")).alias("w"))
 
     def keys(h: Column) -> Column:
-        return F.struct(F.xxhash64(F.lit(1), h).alias("g"), F.when(F.size(h) >= min_words, _halves(h)).alias("halves"))
+        key = F.struct(F.xxhash64(h).alias("h"), F.xxhash64(F.lit(1), h).alias("g"))
+        return F.struct(key.alias("line_key"), F.when(F.size(h) >= min_words, _halves(h)).alias("halves"))
 
     return with_words.select(
-        F.struct("doc_id", "text_key", "line_no").alias("place"),
-        F.xxhash64("w").alias("h"),
-        let(_hashes(F.col("w")), keys).alias("k"),
-    ).select("place", F.struct("h", "k.g").alias("line_key"), "k.halves")
+        F.struct("doc_id", "text_key", "line_no").alias("place"), let(_hashes(F.col("w")), keys).alias("k")
+    ).select("place", "k.line_key", "k.halves")
 
 
-def _running(hashes: Column) -> Column:
-    """The exclusive or of the first elements up to each, in passes that reach twice as far each time."""
-
-    def reach(state: Column, far: Column) -> Column:
-        return F.transform(
-            state, lambda x, i: F.when(i < far, x).otherwise(x.bitwiseXOR(F.get(state, i - far)))
-        )
-
-    powers = F.array(*[F.lit(1 << k) for k in range(31)])
-    return let(hashes, lambda h: F.aggregate(F.filter(powers, lambda p: p < F.size(h)), h, reach))
-
+def _variants(candidates: DataFrame) -> DataFrame:
+    """``place, at, variant``: lines with one word deleted, and lines themselves, as 128-bit keys.
 
-def _deletions(h: Column, seed: int) -> Column:
-    """A hash of the line without its word i, for each i, and last that of the whole line.
+    ``at`` is the place of the deleted word, and -1 for the line itself. A line that shares its first
+    words with another (``first``) loses one of the later words, one that shares its last words
+    (``last``) one of the earlier.
 
     The hash of a word list is that of each word with its position, all joined by exclusive or. So a
-    deletion's hash is that of the words before, and that of the words after moved up by one.
-    """
-    here = F.transform(h, lambda x, i: F.xxhash64(x, i, F.lit(seed)))
-    moved = F.transform(h, lambda x, i: F.xxhash64(x, i - 1, F.lit(seed)))
-
-    def every(x: Column) -> Column:
-        a, b, n = x["a"], x["b"], F.size(x["a"])
-        last = F.get(b, n - 1)
-        without = F.transform(
-            b, lambda y, i: y.bitwiseXOR(last).bitwiseXOR(F.coalesce(F.get(a, i - 1), F.lit(0).cast("long")))
-        )
-        return F.concat(without, F.array(F.get(a, n - 1)))
-
-    return let(F.struct(_running(here).alias("a"), _running(moved).alias("b")), every)
-
-
-def _variants(candidates: DataFrame) -> DataFrame:
-    """``place, at, variant``: every line with each of its words deleted, and the line itself, as 128-bit keys.
-
-    ``at`` is the place of the deleted word, and -1 for the line itself.
+    deletion's hash is that of the words before, and that of the words after moved up by one: two
+    running values over the words as rows.
     """
-
-    def both(h: Column) -> Column:
-        keys = F.zip_with(_deletions(h, 1), _deletions(h, 2), lambda x, y: F.struct(x.alias("x"), y.alias("y")))
-        return F.transform(
-            keys, lambda k, i: F.struct(F.when(i < F.size(h), i).otherwise(-1).alias("at"), k.alias("variant"))
-        )
-
-    # Nothing else of a long line goes with each of its variants.
-    found = candidates.select("place", F.explode(let(_hashes(F.col("w")), both)).alias("v"))
-    return found.select("place", "v.at", "v.variant")
+    def numbered(h: Column) -> Column:
+        return F.transform(h, lambda x, i: F.struct(i.alias("at"), F.size(h).alias("n"), x.alias("x")))
+
+    seeds = (1, 2)
+    line = Window.partitionBy("line_key")
+    so_far = line.orderBy("at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = (
+        candidates.repartition("line_key")
+        # The length is inside, so that the list itself does not go with each of its words.
+        .select("line_key", "place", "first", "last", F.inline(let(_hashes(F.col("w")), numbered)))
+        .withColumns({f"a{s}": F.xxhash64("x", "at", F.lit(s)) for s in seeds})
+        .withColumns({f"b{s}": F.xxhash64("x", F.col("at") - 1, F.lit(s)) for s in seeds})
+        .drop("x")
+    )
+    # Up to a word and with it: the words where they are, and moved up by one.
+    running = rows.withColumns({f"{k}{s}_to": F.bit_xor(f"{k}{s}").over(so_far) for k in "ab" for s in seeds})
+    whole = running.where("at = n - 1").select(
+        "line_key", *[F.struct("a1_to", "a2_to").alias("whole"), F.struct("b1_to", "b2_to").alias("moved")]
+    )
+    kept = running.where(
+        (F.col("first") & (F.col("at") >= F.floor((F.col("n") - 2) / 2)))
+        | (F.col("last") & (F.col("at") < F.col("n") - F.floor((F.col("n") - 2) / 2)))
+    )
+    without = {
+        s: F.col(f"a{s}_to").bitwiseXOR(F.col(f"a{s}")).bitwiseXOR(F.col(f"b{s}_to")).bitwiseXOR(F.col(f"moved.b{s}_to"))
+        for s in seeds
+    }
+    deleted = kept.join(whole, "line_key").select(
+        "place", "at", F.struct(*[without[s].alias(f"h{s}") for s in seeds]).alias("variant")
+    )
+    themselves = running.where("at = n - 1").select(
+        "place", F.lit(-1).alias("at"), F.struct(*[F.col(f"a{s}_to").alias(f"h{s}") for s in seeds]).alias("variant")
+    )
+    return deleted.unionByName(themselves)
 
 
 def _within_one(a: Column, b: Column) -> Column:
@@ -124,31 +122,34 @@ def _within_one(a: Column, b: Column) -> Column:
 def near_lines(found: DataFrame, docs: DataFrame) -> DataFrame:
     """``line_key`` of the distinct lines within one word edit of a line that stands earlier."""
     with Scratch(docs.sparkSession) as scratch:
-        first = found.groupBy("line_key").agg(F.min("place").alias("place"), F.first("halves").alias("halves"))
-        distinct = scratch.saved(first.withColumn("line", F.monotonically_increasing_id()), "lines_first")
-        halves = distinct.where("halves IS NOT NULL").select("line", F.explode("halves").alias("half"))
+        earliest = found.groupBy("line_key").agg(F.min("place").alias("place"), F.first("halves").alias("halves"))
+        distinct = scratch.saved(earliest.withColumn("line", F.monotonically_increasing_id()), "lines_first")
+        halves = distinct.where("halves IS NOT NULL").select("line", F.inline("halves"))
         shared = halves.groupBy("half").agg(F.count("*").alias("n")).where("n > 1").select("half")
-        wanted = distinct.drop("halves").join(halves.join(shared, "half", "left_semi").select("line"), "line", "left_semi")
+        sharing = halves.join(shared, "half", "left_semi").groupBy("line")
+        sides = sharing.agg(F.bool_or(~F.col("last")).alias("first"), F.bool_or("last").alias("last"))
         # The words of candidate lines only, from their first places.
-        by_text = wanted.groupBy(F.col("place.doc_id").alias("id"), F.col("place.text_key").alias("key")).agg(
-            F.collect_list(F.struct(F.col("place.line_no").alias("line_no"), "line_key", "place")).alias("wanted")
+        by_text = (
+            distinct.drop("halves")
+            .join(sides, "line")
+            .groupBy(F.col("place.doc_id").alias("id"), F.col("place.text_key").alias("key"))
+            .agg(F.collect_list(F.struct("line_key", "place", "first", "last")).alias("wanted"))
         )
         text = _text(docs)
         candidates = scratch.saved(
             by_text.join(text, F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("key") == F.col("text_key")))
             .select("wanted", F.split("text", "\n").alias("all_lines"))
             .select("all_lines", F.explode("wanted").alias("x"))
-            .select("x.line_key", "x.place", words(F.get("all_lines", F.col("x.line_no"))).alias("w"))
+            .select("x.*", words(F.get("all_lines", F.col("x.place.line_no"))).alias("w"))
             .dropDuplicates(["line_key"]),
             "line_candidates",
         )
-        return saved(_near(candidates), "lines_near")
+        return saved(_near(candidates, scratch.saved(_variants(candidates), "line_variants")), "lines_near")
 
 
-def _near(candidates: DataFrame) -> DataFrame:
+def _near(candidates: DataFrame, variants: DataFrame) -> DataFrame:
     # Lines with one word replaced meet at equal place and variant, lines with one inserted at
     # the variant that is the shorter line. Each links to the earliest it meets: no pairs.
-    variants = _variants(candidates)
     deleted = variants.where("at >= 0")
     replaced = deleted.groupBy("variant", "at").agg(F.min("place").alias("earliest"), F.count("*").alias("n")).where("n > 1")
     links_replaced = deleted.join(replaced.drop("n"), ["variant", "at"]).where("earliest < place")

@@ -24,7 +24,7 @@ SPACE, END, SYMBOLS = 32, 256, 257
 ORDERS, LESS = (3, 5, 6), (3, 1, 0)
 CONTEXTS = len(ORDERS)
 #: Largest table: a slot for so many training symbols, from 2**12 to 2**22 (what a task's memory holds).
-SYMBOLS_PER_SLOT, MIN_BITS, MAX_BITS = 4, 12, 22
+SYMBOLS_PER_SLOT, MIN_BITS, MAX_BITS = 1, 12, 22
 #: Contexts of two symbols that have a code of their own; after the others, the last symbol's code is used.
 TREES = 1024
 #: Smoothing of a slot's counts.

@@ -111,13 +111,16 @@ def test_clashing_column_names(spark):
 
 
 def test_variants_are_those_of_the_shorter_lists(spark):
-    rows = spark.createDataFrame([(n, [f"w{i % 5}" for i in range(n)]) for n in (1, 2, 3, 8, 9, 10, 17, 40)], "place int, w array<string>")
-    found = {(r.place, r.at): tuple(r.variant) for r in _variants(rows).collect()}
-    for n in (8, 9, 10, 17, 40):
+    def found(lists):
+        rows = [(k, k, True, True, w) for k, w in enumerate(lists)]
+        table = spark.createDataFrame(rows, "line_key int, place int, first boolean, last boolean, w array<string>")
+        return {(r.place, r.at): tuple(r.variant) for r in _variants(table).collect()}
+
+    for n in (8, 9, 40):
         w = [f"w{i % 5}" for i in range(n)]
-        without = spark.createDataFrame([(i, w[:i] + w[i + 1 :]) for i in range(n)], "place int, w array<string>")
-        whole = {r.place: tuple(r.variant) for r in _variants(without).where("at = -1").collect()}
-        assert [found[n, i] for i in range(n)] == [whole[i] for i in range(n)]
+        got, shorter = found([w]), found([w[:i] + w[i + 1 :] for i in range(n)])
+        assert len(got) == n + 1
+        assert [got[0, i] for i in range(n)] == [shorter[i, -1] for i in range(n)]
 
 
 def test_only_two_tables_are_left(spark):

@@ -138,11 +138,12 @@ def test_nothing_to_learn_from(spark):
     assert lm_scores(spark.createDataFrame([], SCHEMA)).collect() == []
 
 
-def test_held_out_texts_are_better_than_by_words(spark):
+def test_held_out_texts_cost_half_of_single_bytes(spark):
+    """Bytes alone cost 4.4 bits in these tables; words of a few hundred texts give less still."""
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
-    rows = [r for r in lm_scores(docs).collect() if r.held_out]
-    assert sum(r.score for r in rows) > sum(r.base_score for r in rows)
-    assert all(r.score < 0 and 0 < r.bits_per_byte for r in rows)
+    rows = [r for r in lm_scores(docs).collect() if r.held_out and r.n_tokens > 50]
+    assert sum(r.bits_per_byte for r in rows) / len(rows) < 2.3
+    assert sum(r.score for r in rows) > 1.05 * sum(r.base_score for r in rows)
 
 
 def test_codes_are_complete():
