@@ -2,8 +2,8 @@
 
 The stream carries file names, not records: each micro-batch names new files. The months they
 belong to are read again as a whole with the drift-safe batch reader and replace their
-partitions ``tipo_taxi=/anio=/mes=``. A batch that runs again, another batch size or a lost
-checkpoint therefore adds no record twice. A month that was published again under the same
+partitions in a new version of the table, so readers see a batch whole or not at all. A batch that
+runs again, another batch size or a lost checkpoint adds no record twice. A month that was published again under the same
 path is found by its size and time against the manifest, which also names the files set aside.
 """
 
@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from milepost.functions.labels import SERVICIOS
 from milepost.plans.model import VIAJES, normalise_all, raw_contracts
+from milepost.plans.versions import VersionedTable
 from milepost.sources.drift import read_with_contracts
 from milepost.sources.inventory import below_root, list_files, month_of, rejected_files, service_of, year_of
 
@@ -29,6 +30,11 @@ def _manifest_path(table: str) -> str:
     return f"{table.rstrip('/')}_archivos"
 
 
+def trips_table(spark: SparkSession, table: str) -> VersionedTable:
+    """The table that :func:`ingest_arrivals` keeps, with all its versions."""
+    return VersionedTable(spark, table, ", ".join(f"{name} {kind}" for name, kind in VIAJES.items()), PARTITIONS)
+
+
 def _placed(files: DataFrame) -> DataFrame:
     path = F.col("relativa")
     return files.withColumns(
@@ -47,16 +53,15 @@ def _take(spark: SparkSession, root: str, table: str, names: DataFrame) -> int:
         readable = files.where(F.col("tipo_taxi").isin(*SERVICIOS) & F.col("anio").isNotNull() & F.col("mes").isNotNull())
         bad = rejected_files(readable).select("ruta", F.col("error").alias("rechazo")).persist()
         good = readable.join(bad, "ruta", "left_anti")
-        if not good.isEmpty():
+        # Service, year and month of the batch: a few values a year. A month whose files are all gone or bad is empty.
+        named_months = [tuple(row) for row in months.dropna().collect()]
+        if good.isEmpty():
+            rows = spark.createDataFrame([], trips_table(spark, table).ddl)
+        else:
             raw = read_with_contracts(spark, root, good.select("ruta", "relativa"), raw_contracts(), whole_folders=False)
-            (
-                normalise_all(raw)
-                .hint("rebalance", *PARTITIONS)
-                .write.mode("overwrite")
-                .option("partitionOverwriteMode", "dynamic")
-                .partitionBy(*PARTITIONS)
-                .parquet(table)
-            )
+            rows = normalise_all(raw).hint("rebalance", *PARTITIONS)
+        if named_months:
+            trips_table(spark, table).replace_partitions(rows, named_months)
         unnamed = F.when(~F.coalesce(F.col("tipo_taxi"), F.lit("")).isin(*SERVICIOS), NO_SERVICE).when(
             F.col("anio").isNull() | F.col("mes").isNull(), NO_MONTH
         )
@@ -137,10 +142,9 @@ def ingest_arrivals(
     return sum(counts)
 
 
-def read_ingested(spark: SparkSession, table: str) -> DataFrame:
-    """The table written by :func:`ingest_arrivals`."""
-    ddl = ", ".join(f"{name} {kind}" for name, kind in VIAJES.items())
-    return spark.read.schema(ddl).parquet(table).select(*VIAJES)
+def read_ingested(spark: SparkSession, table: str, version: int | None = None) -> DataFrame:
+    """The table written by :func:`ingest_arrivals`, by default its latest version."""
+    return trips_table(spark, table).read(version)
 
 
 def read_rejected(spark: SparkSession, table: str) -> DataFrame:
