@@ -29,10 +29,9 @@ SYMBOLS_PER_SLOT, MIN_BITS, MAX_BITS = 1, 12, 22
 TREES = 1024
 #: Smoothing of a slot's counts.
 SMOOTH = 0.3
-#: Weights of the contexts before any refinement, for each gate: whether training saw the second
-#: context (1), and whether it saw the third (2).
-WEIGHTS = ((1.0, 0.0, 0.0), (0.4, 0.7, 0.0), (0.4, 0.0, 0.7), (0.3, 0.4, 0.5))
-GATES = len(WEIGHTS)
+#: Weights of the contexts before any refinement. There is a set of them for each gate: letters of
+#: the word so far, up to three.
+WEIGHTS, GATES = (0.2, 0.3, 0.5), 4
 #: Weights are refined after each ``STEP`` symbols of a text.
 STEP, RATE = 128, 0.005
 #: Symbols that a task counts and scores at a time, and those before them that give their contexts.
@@ -40,7 +39,7 @@ COUNTED, SCORED, BEFORE = 1 << 20, 1 << 18, max(ORDERS)
 #: Table slots per merged row.
 PART = 1 << 14
 #: Words whose counts are sent to tasks; the others meet theirs in a join.
-FREQUENT = 1 << 16
+FREQUENT = 1 << 18
 #: Documents that a task hands on at a time.
 ROWS = 2000
 #: Base scores are summed as whole numbers of this unit, so that their order does not matter.
@@ -92,16 +91,20 @@ class Code:
         # Unseen symbols count a little, those seen after the last symbol alone a little more.
         single = (pairs.sum(0) + 1) / (pairs.sum() + SYMBOLS)
         backed = pairs + single
+        least = 2.0**-16  # of a code's symbols together: no path is much longer than 16
         self.tree = np.tile(np.arange(SYMBOLS + 1, dtype=np.int32), SYMBOLS + 1)
         weights = list(backed)
         for (before, last), counts in sorted(triples.items()):
             self.tree[before * (SYMBOLS + 1) + last] = len(weights)
             weights.append(counts + backed[last] / backed[last].sum())
-        paths = [path for w in weights for path in _huffman(w)]
-        self.length = np.array([len(p) for p in paths], dtype=np.int32)
+        lengths, nodes, bits = [], [], []
+        for w in weights:
+            paths = _huffman(np.maximum(w, least * w.sum()))
+            lengths.append(np.array([len(p) for p in paths], dtype=np.int32))
+            nodes.append(np.array([node for p in paths for node, _ in p], dtype=np.uint16))
+            bits.append(np.array([bit for p in paths for _, bit in p], dtype=np.uint8))
+        self.length, self.node, self.bit = map(np.concatenate, (lengths, nodes, bits))
         self.start = (np.cumsum(self.length) - self.length).astype(np.int32)
-        self.node = np.array([node for p in paths for node, _ in p], dtype=np.uint16)
-        self.bit = np.array([bit for p in paths for _, bit in p], dtype=np.uint8)
 
     def after(self, symbols: np.ndarray) -> np.ndarray:
         """Where the codes of each position begin, given the symbols before it (plus one, 0 between texts)."""
@@ -112,11 +115,11 @@ class Code:
         return self.tree[before * (SYMBOLS + 1) + last] * SYMBOLS
 
     def shifts(self, bits: int) -> np.ndarray:
-        """What a decision's number adds to its context's place."""
+        """What a decision's number adds to its context's place; smaller tables take the lower bits."""
         number = np.arange(1 << 16, dtype=np.uint64)
-        spread = ((number >> np.uint64(5)) * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(64 - bits + 5)
+        spread = ((number >> np.uint64(5)) * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(40)
         spread[:32] = 0
-        return ((spread << np.uint64(5)) | (number & np.uint64(31))).astype(np.uint32)
+        return (((spread << np.uint64(5)) | (number & np.uint64(31))) & np.uint64((1 << bits) - 1)).astype(np.uint32)
 
 
 def places(symbols: np.ndarray, bits: int) -> list[np.ndarray]:
@@ -153,7 +156,9 @@ class Piece:
         self.code, self.sizes, chosen = code, [len(c) for c in coded], np.concatenate(coded)
         self.path = code.after(flat)[chosen] + flat[chosen].astype(np.int32) - 1
         self.places = [place[chosen] for place in places(flat, bits)]
-        self.shifts = [code.shifts(bits - less) for less in LESS]
+        self.shifts, self.masks = code.shifts(bits), [np.uint32((1 << (bits - less)) - 1) for less in LESS]
+        letters = np.arange(len(flat)) - np.maximum.accumulate(np.where((flat == 0) | (flat == SPACE + 1), np.arange(len(flat)) + 1, 0))
+        self.gate = np.clip(np.roll(letters, 1)[chosen] + 1, 0, GATES - 1)
 
     def count(self, tables: list[np.ndarray]) -> None:
         """Add the decisions to the tables of counts; symbols with equal contexts are added up first."""
@@ -171,9 +176,9 @@ class Piece:
                 own[k] = (key & ((np.uint64(1) << width) - np.uint64(1))).astype(np.uint32)
                 key = key >> width
             of, decision = self._decisions(key.astype(np.int32))
-            node, bit, times = self.code.node[decision], self.code.bit[decision], times[of]
+            shift, bit, times = self.shifts[self.code.node[decision]], self.code.bit[decision], times[of]
             for k in group:
-                slots = own[k][of] ^ self.shifts[k][node]
+                slots = own[k][of] ^ (shift & self.masks[k])
                 np.add.at(tables[k], ((slots << np.uint32(1)) | bit).astype(np.intp), times)
 
     def _decisions(self, path: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -183,17 +188,19 @@ class Piece:
         begins = np.cumsum(length, dtype=np.int32) - length
         return of, np.arange(len(of), dtype=np.int32) + (self.code.start[path] - begins)[of]
 
-    def in_steps(self, parts: list[Part]) -> tuple[np.ndarray, np.ndarray, list[np.ndarray], np.ndarray]:
-        """Text, bit and slots of every decision by steps, and where each step's decisions end."""
+    def in_steps(self, parts: list[Part]) -> tuple[np.ndarray, list[np.ndarray], np.ndarray, np.ndarray, np.ndarray]:
+        """Bit and slots of every decision by step, text and gate; of each such run its key, begin and step."""
         text = np.repeat(np.arange(len(parts)), self.sizes)
         starts = np.cumsum(self.sizes) - self.sizes
         step = (np.arange(len(text)) - np.repeat(starts - [first for _, first, _, _ in parts], self.sizes)) // STEP
-        order = np.argsort(step, kind="stable")
+        key = (step * len(parts) + text) * GATES + self.gate
+        order = np.argsort(key, kind="stable")
         of, decision = self._decisions(self.path[order])
-        node = self.code.node[decision]
-        slots = [place[order][of] ^ shift[node] for place, shift in zip(self.places, self.shifts)]
-        last = np.flatnonzero(np.diff(step[order], append=-1))
-        return text[order][of], self.code.bit[decision], slots, np.searchsorted(of, last, side="right")
+        shift = self.shifts[self.code.node[decision]]
+        slots = [place[order][of] ^ (shift & mask) for place, mask in zip(self.places, self.masks)]
+        key = key[order]
+        first = np.flatnonzero(np.diff(key, prepend=-1))
+        return self.code.bit[decision], slots, key[first], np.searchsorted(of, first), len(parts)
 
 
 def pieces(texts: Iterator[tuple[int, bytes]], most: int) -> Iterator[list[Part]]:
@@ -291,39 +298,41 @@ class Mixer:
         total: dict[int, float] = {}
         kept: tuple[int | None, np.ndarray | None] = (None, None)  # weights of a text that goes on
         for parts in pieces(texts, SCORED):
-            text, *decisions = Piece(parts, self.code, self.bits).in_steps(parts)
-            weights = np.tile(np.array(WEIGHTS, dtype=np.float32), (len(parts), 1))
+            decisions = Piece(parts, self.code, self.bits).in_steps(parts)
+            weights = np.tile(np.array(WEIGHTS, dtype=np.float32), (len(parts) * GATES, 1))
             if parts[0][0] == kept[0]:
                 weights[:GATES] = kept[1]
-            sums = np.bincount(text, self._mixed(text, *decisions, weights), minlength=len(parts))
+            sums = self._mixed(*decisions, weights)
             for (name, *_), value in zip(parts, sums.tolist()):
                 total[name] = total.get(name, 0.0) + value
             kept = (parts[-1][0], weights[-GATES:].copy())
         return total
 
-    def _mixed(self, text, bit, slots, steps, weights: np.ndarray) -> np.ndarray:
-        """The logarithm of each decision's probability; ``weights`` are refined."""
+    def _mixed(self, bit, slots, run, begin, texts: int, weights: np.ndarray) -> np.ndarray:
+        """The logarithm of each text's probability; ``weights`` are refined."""
         odds = [table.take(own) for table, own in zip(self.odds, slots)]
-        key = text * GATES + (odds[1] != 0) + 2 * (odds[2] != 0)
         sign = bit.astype(np.float32) * 2 - 1
         rows = [np.ascontiguousarray(weights[:, k]) for k in range(CONTEXTS)]
         margin, spare = np.empty_like(sign), np.empty_like(sign)
-        begin = 0
-        for end in steps.tolist():
-            here = slice(begin, end)
-            begin, own, t, q = end, key[here], margin[here], spare[here]
-            np.multiply(rows[0].take(own), odds[0][here], out=t)
+        ends = np.append(begin, len(sign))
+        step, run = np.divmod(run, texts * GATES)
+        borders = np.flatnonzero(np.diff(step, prepend=-1, append=-1)).tolist()
+        for first, last in zip(borders, borders[1:]):
+            here, own, size = slice(ends[first], ends[last]), run[first:last], np.diff(ends[first : last + 1])
+            t, q, at = margin[here], spare[here], ends[first:last] - ends[first]
+            np.multiply(np.repeat(rows[0][own], size), odds[0][here], out=t)
             for k in range(1, CONTEXTS):
-                t += rows[k].take(own) * odds[k][here]
+                t += np.repeat(rows[k][own], size) * odds[k][here]
             t *= sign[here]
             np.clip(t, -16, 16, out=t)
             np.exp(t, out=q)
             q += 1
             error = sign[here] / q
             for k in range(CONTEXTS):
-                rows[k] += np.float32(RATE) * np.bincount(own, error * odds[k][here], minlength=len(weights)).astype(np.float32)
+                rows[k][own] += np.float32(RATE) * np.add.reduceat(error * odds[k][here], at)
         weights[:] = np.stack(rows, axis=1)
-        return margin - np.log(spare)
+        margin -= np.log(spare)
+        return np.bincount(run // GATES, np.add.reduceat(margin, begin, dtype=np.float64), minlength=texts)
 
 
 def _tokens(batches):

@@ -44,7 +44,7 @@ def brute(rows):
     often = sorted(triples, key=lambda c: (-triples[c].sum(), c))[: module.TREES]
     code = Code(pairs, {c: triples[c] for c in often})
     n_bits = max((int(pairs.sum()) // module.SYMBOLS_PER_SLOT).bit_length() if training else 0, module.MIN_BITS)
-    shifts = [code.shifts(n_bits - less) for less in module.LESS]
+    shifts = [code.shifts(n_bits) & ((1 << (n_bits - less)) - 1) for less in module.LESS]
 
     def path(s, i):
         last, before = after(s, i)[1], after(s, i)[0]
@@ -69,7 +69,7 @@ def brute(rows):
     for doc_id, text in rows:
         own = Counter([*words(text), None])
         base = sum(c * math.log10((tokens[t] + 0.5) / (n + 0.5 * (v + 1))) for t, c in own.items())
-        weights = [list(w) for w in WEIGHTS]
+        weights = [list(WEIGHTS) for _ in range(GATES)]
         s, log = symbols(text), 0.0
         at = slots(s)
         for begin in range(0, len(s), STEP):
@@ -78,7 +78,7 @@ def brute(rows):
                 for shift, bit in path(s, i):
                     found = [seen[k].get(at[k][i] ^ shift[k], [0, 0]) for k in range(len(ORDERS))]
                     odds = [math.log((c[1] + SMOOTH) / (c[0] + SMOOTH)) for c in found]
-                    gate = (odds[1] != 0) + 2 * (odds[2] != 0)
+                    gate = min(next((k for k in range(i) if s[i - 1 - k] == 32), i), 3)
                     t = (2 * int(bit) - 1) * sum(w * x for w, x in zip(weights[gate], odds))
                     t = min(max(t, -16), 16)
                     log -= math.log1p(math.exp(-t))
