@@ -67,40 +67,43 @@ def _variants(candidates: DataFrame) -> DataFrame:
     deletion's hash is that of the words before, and that of the words after moved up by one: two
     running values over the words as rows.
     """
+    seeds = (1, 2)
+
+    def joined(h: Column, seed: int, up: int) -> Column:
+        """Of all words, where they are or moved ``up``."""
+        hashed = F.transform(h, lambda x, i: F.xxhash64(x, i - up, F.lit(seed)))
+        return F.aggregate(hashed, F.lit(0).cast("long"), lambda x, y: x.bitwiseXOR(y))
+
     def numbered(h: Column) -> Column:
-        return F.transform(h, lambda x, i: F.struct(i.alias("at"), F.size(h).alias("n"), x.alias("x")))
+        # Length and totals are inside, so that the list itself does not go with each of its words.
+        def rows(line: Column) -> Column:
+            return F.transform(h, lambda x, i: F.struct(i.alias("at"), x.alias("x"), line.alias("whole")))
 
-    seeds = (1, 2)
-    line = Window.partitionBy("line_key")
-    so_far = line.orderBy("at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    rows = (
-        candidates.repartition("line_key")
-        # The length is inside, so that the list itself does not go with each of its words.
-        .select("line_key", "place", "first", "last", F.inline(let(_hashes(F.col("w")), numbered)))
-        .withColumns({f"a{s}": F.xxhash64("x", "at", F.lit(s)) for s in seeds})
-        .withColumns({f"b{s}": F.xxhash64("x", F.col("at") - 1, F.lit(s)) for s in seeds})
-        .drop("x")
-    )
-    # Up to a word and with it: the words where they are, and moved up by one.
-    running = rows.withColumns({f"{k}{s}_to": F.bit_xor(f"{k}{s}").over(so_far) for k in "ab" for s in seeds})
-    whole = running.where("at = n - 1").select(
-        "line_key", *[F.struct("a1_to", "a2_to").alias("whole"), F.struct("b1_to", "b2_to").alias("moved")]
+        totals = [joined(h, s, up).alias(f"{k}{s}") for s in seeds for k, up in (("a", 0), ("b", 1))]
+        return let(F.struct(F.size(h).alias("n"), *totals), rows)
+
+    rows = candidates.repartition("line_key").select(
+        "line_key", "place", "first", "last", F.inline(let(_hashes(F.col("w")), numbered))
     )
-    kept = running.where(
-        (F.col("first") & (F.col("at") >= F.floor((F.col("n") - 2) / 2)))
-        | (F.col("last") & (F.col("at") < F.col("n") - F.floor((F.col("n") - 2) / 2)))
+    n = F.col("whole.n")
+    hashed = rows.withColumns({f"a{s}": F.xxhash64("x", "at", F.lit(s)) for s in seeds}).withColumns(
+        {f"b{s}": F.xxhash64("x", F.col("at") - 1, F.lit(s)) for s in seeds}
     )
-    without = {
-        s: F.col(f"a{s}_to").bitwiseXOR(F.col(f"a{s}")).bitwiseXOR(F.col(f"b{s}_to")).bitwiseXOR(F.col(f"moved.b{s}_to"))
-        for s in seeds
-    }
-    deleted = kept.join(whole, "line_key").select(
-        "place", "at", F.struct(*[without[s].alias(f"h{s}") for s in seeds]).alias("variant")
+    # Up to a word and with it: where the words are, less what they are moved up by one.
+    so_far = Window.partitionBy("line_key").orderBy("at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    running = hashed.withColumns(
+        {f"to{s}": F.bit_xor(F.col(f"a{s}").bitwiseXOR(F.col(f"b{s}"))).over(so_far) for s in seeds}
     )
-    themselves = running.where("at = n - 1").select(
-        "place", F.lit(-1).alias("at"), F.struct(*[F.col(f"a{s}_to").alias(f"h{s}") for s in seeds]).alias("variant")
+    without = [F.col(f"to{s}").bitwiseXOR(F.col(f"a{s}")).bitwiseXOR(F.col(f"whole.b{s}")).alias(f"h{s}") for s in seeds]
+    itself = [F.col(f"whole.a{s}").alias(f"h{s}") for s in seeds]
+    half = F.floor((n - 2) / 2)
+    lost = (F.col("first") & (F.col("at") >= half)) | (F.col("last") & (F.col("at") < n - half))
+    found = F.array(
+        F.struct(F.when(lost, F.col("at")).alias("at"), F.struct(*without).alias("variant")),
+        # Once a line.
+        F.struct(F.when(F.col("at") == 0, F.lit(-1)).alias("at"), F.struct(*itself).alias("variant")),
     )
-    return deleted.unionByName(themselves)
+    return running.select("place", F.inline(found)).where("at IS NOT NULL")
 
 
 def _within_one(a: Column, b: Column) -> Column:
@@ -119,10 +122,12 @@ def _within_one(a: Column, b: Column) -> Column:
     )
 
 
-def near_lines(found: DataFrame, docs: DataFrame) -> DataFrame:
-    """``line_key`` of the distinct lines within one word edit of a line that stands earlier."""
+def _fates(found: DataFrame, docs: DataFrame) -> DataFrame:
+    """``line_key, first, near``: lines that stand more than once, or within one word edit of an earlier line."""
     with Scratch(docs.sparkSession) as scratch:
-        earliest = found.groupBy("line_key").agg(F.min("place").alias("place"), F.first("halves").alias("halves"))
+        earliest = found.groupBy("line_key").agg(
+            F.min("place").alias("place"), F.first("halves").alias("halves"), F.count("*").alias("n")
+        )
         distinct = scratch.saved(earliest.withColumn("line", F.monotonically_increasing_id()), "lines_first")
         halves = distinct.where("halves IS NOT NULL").select("line", F.inline("halves"))
         shared = halves.groupBy("half").agg(F.count("*").alias("n")).where("n > 1").select("half")
@@ -130,7 +135,7 @@ def near_lines(found: DataFrame, docs: DataFrame) -> DataFrame:
         sides = sharing.agg(F.bool_or(~F.col("last")).alias("first"), F.bool_or("last").alias("last"))
         # The words of candidate lines only, from their first places.
         by_text = (
-            distinct.drop("halves")
+            distinct.drop("halves", "n")
             .join(sides, "line")
             .groupBy(F.col("place.doc_id").alias("id"), F.col("place.text_key").alias("key"))
             .agg(F.collect_list(F.struct("line_key", "place", "first", "last")).alias("wanted"))
@@ -144,7 +149,9 @@ def near_lines(found: DataFrame, docs: DataFrame) -> DataFrame:
             .dropDuplicates(["line_key"]),
             "line_candidates",
         )
-        return saved(_near(candidates, scratch.saved(_variants(candidates), "line_variants")), "lines_near")
+        near = _near(candidates, scratch.saved(_variants(candidates), "line_variants")).withColumn("near", F.lit(True))
+        fates = distinct.select("line_key", F.col("place").alias("first"), "n").join(near, "line_key", "left")
+        return saved(fates.where("n > 1 OR near").drop("n"), "line_fates")
 
 
 def _near(candidates: DataFrame, variants: DataFrame) -> DataFrame:
@@ -189,12 +196,10 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     met by many lines is a count and a minimum, so no task holds its lines.
     """
     found = saved(lines(docs, min_words), "lines")
-    near = near_lines(found, docs).withColumn("near", F.lit(True))
-    first = found.groupBy("line_key").agg(F.min("place").alias("first"), F.count("*").alias("n"))
-    fate = first.join(near, "line_key", "left").where("n > 1 OR near")
+    fates = _fates(found, docs)
     gone = (
         found.select("line_key", "place")
-        .join(fate, "line_key")
+        .join(fates, "line_key")
         .where(F.col("near") | (F.col("place") > F.col("first")))
         .groupBy(F.col("place.doc_id").alias("gone_id"), F.col("place.text_key").alias("gone_key"))
         .agg(

@@ -128,4 +128,4 @@ def test_only_two_tables_are_left(spark):
     root = shared_root(spark).removeprefix("file://")
     before = set(os.listdir(f"{root}/milepost"))
     dedup_lines(docs).collect()
-    assert sorted(n.split("-")[0] for n in set(os.listdir(f"{root}/milepost")) - before) == ["lines", "lines_near"]
+    assert sorted(n.split("-")[0] for n in set(os.listdir(f"{root}/milepost")) - before) == ["line_fates", "lines"]
