@@ -19,6 +19,7 @@ from milepost.plans.model import MAX_MINUTES, VIAJES, normalise_all, plausible,
 from milepost.plans.settings import Settings, Umbrales
 from milepost.plans.workspace import new_folder
 from milepost.sources import inventory
+from milepost.sources.catalogue import FooterCatalogue
 from milepost.sources.drift import read_with_contracts
 from milepost.sources.zones import read_zones
 
@@ -45,18 +46,24 @@ class TripSource:
 
     def monthly_files(self) -> DataFrame:
         """One row per monthly file: ``tipo_taxi, anio, mes, archivo, partes, bytes``."""
-        raise NotImplementedError
+        return self.files().monthly_files()
 
     def record_counts(self) -> DataFrame:
         """``relativa, registros`` of every monthly file."""
-        raise NotImplementedError
+        return self.files().record_counts()
 
     def file_status(self) -> DataFrame:
         """``tipo_taxi, anio, mes, archivo, valido`` of every monthly file."""
-        raise NotImplementedError
+        return self.files().file_status()
+
+    # The files that the source was given, which need not be monthly.
+
+    def given_files(self) -> DataFrame:
+        """As :meth:`monthly_files`."""
+        return self.monthly_files()
 
     def signatures(self) -> DataFrame:
-        """As :meth:`file_status`, for the stored files whose signatures are checked."""
+        """As :meth:`file_status`."""
         return self.file_status()
 
     def saved(self) -> DataFrame:
@@ -83,7 +90,7 @@ class TripSource:
 
 
 class FileTrips(TripSource):
-    """Monthly files below ``root``, and optionally a zone lookup and a saved table."""
+    """Monthly files below ``root``, and optionally a zone lookup, a saved table, and where their footers are kept."""
 
     def __init__(
         self,
@@ -92,15 +99,20 @@ class FileTrips(TripSource):
         zones_csv: str | None = None,
         table: str | None = None,
         settings: Settings = Settings(),
+        catalogue: str | None = None,
     ) -> None:
         self.spark, self.root, self.settings = spark, root, settings
-        self.zones_csv, self.table = zones_csv, table
+        self.zones_csv, self.table, self._catalogue_path = zones_csv, table, catalogue
+
+    @cached_property
+    def catalogue(self) -> FooterCatalogue:
+        return FooterCatalogue(self.spark, self.root, self._catalogue_path)
 
     @cached_property
     def _normalised(self) -> DataFrame:
-        listing = inventory.list_files(self.spark, self.root)
-        raw = read_with_contracts(self.spark, self.root, listing, raw_contracts())
-        return normalise_all(raw)
+        known = self.catalogue.files
+        columns = known.select("ruta", "relativa", "error", F.inline_outer("columnas"))
+        return normalise_all(read_with_contracts(self.spark, self.root, known, raw_contracts(), footers=columns))
 
     def trips(self, *columns: str, raw: bool = False) -> DataFrame:
         from_table = self.table is not None and not raw
@@ -121,7 +133,7 @@ class FileTrips(TripSource):
         return tables.read_trips(self.spark, self.table)
 
     def record_counts(self) -> DataFrame:
-        return inventory.record_counts(self.spark, self.root)
+        return self.catalogue.counts()
 
     def monthly_files(self) -> DataFrame:
         return inventory.monthly_files(self.spark, self.root)
@@ -130,11 +142,11 @@ class FileTrips(TripSource):
         return inventory.monthly_file_status(self.spark, self.root)
 
     def footers(self) -> DataFrame:
-        return inventory.footers(inventory.list_files(self.spark, self.root))
+        return self.catalogue.footers()
 
     def rejected(self) -> DataFrame:
         """``ruta, relativa, error`` of the files that are set aside when trips are read."""
-        return inventory.rejected_files(inventory.list_files(self.spark, self.root))
+        return self.catalogue.rejected()
 
 
 def _monthly_name() -> Column:
@@ -250,17 +262,14 @@ class StarTrips(TripSource):
     def valid_pickups(self) -> DataFrame:
         return self.pickups().select("pickup_datetime")
 
-    def monthly_files(self) -> DataFrame:
-        """The months that the line items fall into, as the files they would make; nothing is written."""
-        months = self.trips("tipo_taxi", "anio", "mes", raw=True).distinct()
-        return months.select("tipo_taxi", "anio", "mes", _monthly_name().alias("archivo"))
-
     def record_counts(self) -> DataFrame:
+        """Counted from the line items, as the files that their months would make."""
         rows = self.trips("tipo_taxi", "anio", "mes", raw=True).groupBy("tipo_taxi", "anio", "mes")
         return rows.agg(F.count(F.lit(1)).alias("registros")).select(_monthly_name().alias("relativa"), "registros")
 
-    def file_status(self) -> DataFrame:
-        return self.monthly_files().withColumn("valido", F.lit(True))
+    def given_files(self) -> DataFrame:
+        """The given tables' own files."""
+        return inventory.monthly_files(self.spark, self.sf_dir)
 
     def signatures(self) -> DataFrame:
         """Of the given tables' own files."""

@@ -62,12 +62,12 @@ def _year_trips(source: TripSource, *columns: str) -> DataFrame:
 
 
 def _year_files(source: TripSource) -> DataFrame:
-    files, year = source.monthly_files(), source.settings.file_year
+    files, year = source.given_files(), source.settings.file_year
     return files if year is None else files.where(F.col("anio") == year)
 
 
-def _year_counts(source: TripSource) -> DataFrame:
-    counts, year = source.record_counts(), source.settings.file_year
+def _year_counts(source: TripSource, counts: DataFrame) -> DataFrame:
+    year = source.settings.file_year
     return counts if year is None else counts.where(year_of(F.col("relativa")) == year)
 
 
@@ -86,12 +86,12 @@ def _(s):
 
 @report("q02_cantidad_registros", "Records per service and in total")
 def _(s):
-    return explore.cantidad_registros(_year_counts(s))
+    return explore.cantidad_registros(_year_counts(s, s.record_counts()))
 
 
 @report("q03_registros_por_archivo", "Records per monthly file")
 def _(s):
-    return explore.registros_por_archivo(_year_counts(s))
+    return explore.registros_por_archivo(_year_counts(s, s.files().record_counts()))
 
 
 @report("q04_esquema_yellow", "Merged schema of the yellow files")

@@ -25,9 +25,9 @@ Variant = tuple[tuple[str, str], ...]
 
 
 def _type_variants(
-    files: DataFrame, contracts: Mapping[str, Mapping[str, str]], whole_folders: bool
+    footers: DataFrame, contracts: Mapping[str, Mapping[str, str]], whole_folders: bool
 ) -> dict[tuple[str, Variant], list[str]]:
-    """Files or folders per ``(service, types that differ from the contract)``, from one footer pass.
+    """Files or folders per ``(service, types that differ from the contract)``, from rows per file and column.
 
     Only metadata reaches the driver, one row per folder with uniform files; Spark's own
     file index for the same read holds more.
@@ -38,7 +38,7 @@ def _type_variants(
     differs = name.isin(*expected) & (F.col("tipo") != kinds[name])
     service = service_of(F.col("relativa"), "")
     per_file = (
-        all_footers(files.where(service.isin(*contracts)))
+        footers.where(service.isin(*contracts))
         .groupBy("ruta", "relativa", service.alias("servicio"))
         .agg(
             F.sort_array(F.collect_list(F.when(differs, F.struct(name.alias("columna"), "tipo")))).alias("variante"),
@@ -95,15 +95,18 @@ def read_with_contracts(
     files: DataFrame,
     contracts: Mapping[str, Mapping[str, str]],
     whole_folders: bool = True,
+    footers: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
     """Read ``files`` (``ruta, relativa``) as the columns and types of their service's contract.
 
+    ``footers`` are the files' footers if they are known (:class:`FooterCatalogue`); else they are opened.
+
     Returns one DataFrame per service found. Missing columns are typed NULLs; partition folders
     below ``base`` become columns; ``_ruta`` is the file each row came from. Pass
     ``whole_folders=False`` when ``files`` are not all files of their folders.
     """
     read: dict[str, DataFrame] = {}
-    for (service, variant), paths in sorted(_type_variants(files, contracts, whole_folders).items()):
+    for (service, variant), paths in sorted(_type_variants(all_footers(files) if footers is None else footers, contracts, whole_folders).items()):
         part = _read_variant(spark, base, sorted(paths), contracts[service], dict(variant))
         read[service] = read[service].unionByName(part, allowMissingColumns=True) if service in read else part
     if not read:

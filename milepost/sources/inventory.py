@@ -217,30 +217,22 @@ def _spark_type(arrow_type) -> str:
     return known.get(str(arrow_type), str(arrow_type))
 
 
-def record_counts(spark: SparkSession, root: str) -> DataFrame:
-    """``relativa, registros`` of every readable file below ``root`` that holds records.
+FOOTER_COLUMNS = "ruta string, relativa string, posicion int, columna string, tipo string, registros long, error string"
 
-    A scan without columns: Spark takes the counts from the footers itself. Files with a broken
-    footer are left out; :func:`rejected_files` names them.
-    """
-    # Scans write paths as URLs, listings as they are.
-    path = F.try_url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
-    return (
-        spark.read.schema("anio int")
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "*.parquet")
-        .option("ignoreCorruptFiles", "true")
-        .parquet(root)
-        .groupBy(below_root(path, root).alias("relativa"))
-        .agg(F.count(F.lit(1)).alias("registros"))
-    )
 
+def _is_broken(problem: Exception) -> bool:
+    """The bytes are no Parquet footer; any other failure to read them is one of the store."""
+    import pyarrow as pa
 
-FOOTER_COLUMNS = "ruta string, relativa string, posicion int, columna string, tipo string, error string"
+    return isinstance(problem, pa.ArrowInvalid) or (isinstance(problem, OSError) and problem.errno is None)
 
 
 def all_footers(files: DataFrame) -> DataFrame:
-    """:func:`footers`, and for a file whose footer cannot be read one row with ``error`` alone."""
+    """:func:`footers` with the file's ``registros``; a file whose footer is broken has one row with ``error`` alone.
+
+    A file that cannot be read for another reason, such as a missing right or a store that does not
+    answer, ends the query: it must not be taken for one without records.
+    """
     import pyarrow.parquet as pq
 
     options = storage_options(files.sparkSession)
@@ -253,17 +245,19 @@ def all_footers(files: DataFrame) -> DataFrame:
             for path, relative in zip(batch["ruta"], batch["relativa"]):
                 try:
                     with open_file(path, options) as handle:
-                        schema = pq.read_schema(handle)
+                        footer = pq.read_metadata(handle)
+                        schema = footer.schema.to_arrow_schema()
                 except (OSError, pa.ArrowException) as problem:
-                    rows.append((path, relative, None, None, None, str(problem)[:500]))
+                    if not _is_broken(problem):
+                        raise
+                    rows.append((path, relative, None, None, None, None, str(problem)[:500]))
                     continue
                 rows += [
-                    (path, relative, position, field.name, _spark_type(field.type), None)
+                    (path, relative, position, field.name, _spark_type(field.type), footer.num_rows, None)
                     for position, field in enumerate(schema)
                 ]
-            yield pd.DataFrame(rows, columns=["ruta", "relativa", "posicion", "columna", "tipo", "error"]).astype(
-                {"posicion": "Int32"}
-            )
+            names = ["ruta", "relativa", "posicion", "columna", "tipo", "registros", "error"]
+            yield pd.DataFrame(rows, columns=names).astype({"posicion": "Int32", "registros": "Int64"})
 
     return _spread(files.select("ruta", "relativa")).mapInPandas(read, FOOTER_COLUMNS)
 
@@ -273,7 +267,7 @@ def footers(files: DataFrame) -> DataFrame:
 
     Only the footer of each file is read, inside a task.
     """
-    return all_footers(files).where(F.col("error").isNull()).drop("error")
+    return all_footers(files).where(F.col("error").isNull()).drop("registros", "error")
 
 
 def rejected_files(files: DataFrame) -> DataFrame:
