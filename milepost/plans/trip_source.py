@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 
 from milepost.functions.expressions import Period, minutes_between
 from milepost.functions.labels import SERVICIOS
-from milepost.plans import tables
+from milepost.plans import monthly_state, tables
 from milepost.plans.model import MAX_MINUTES, VIAJES, normalise_all, plausible, raw_contract, raw_contracts
+from milepost.plans.monthly_state import MonthlyState
 from milepost.plans.settings import Settings, Umbrales
 from milepost.plans.workspace import new_folder
 from milepost.sources import inventory
@@ -32,6 +33,7 @@ class TripSource:
 
     max_minutes: float = MAX_MINUTES
     settings: Settings = Settings()
+    spark: SparkSession
 
     def trips(self, *columns: str, raw: bool = False) -> DataFrame:
         """All trips: from the saved table if there is one, else, or with ``raw``, from the source itself."""
@@ -70,6 +72,13 @@ class TripSource:
         """The saved copy of ``trips``."""
         raise NotImplementedError
 
+    @cached_property
+    def monthly_state(self) -> MonthlyState:
+        """Aggregates of each file month, made once from all trips."""
+        state = MonthlyState(self.spark, new_folder(self.spark, "estado"))
+        state.update(self.trips(*monthly_state.COLUMNS))
+        return state
+
     # Period of ``pickups`` where it is not the explored one.
     pickups_period: Period | None = None
 

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from milepost.functions.expressions import month_start
 from milepost.functions.labels import SERVICIOS
 from milepost.operators import compare, eda, evolution, explore, indicators, reshape, validate
+from milepost.plans import monthly_state
 from milepost.plans.model import VIAJES
 from milepost.plans.trip_source import TripSource
 from milepost.plans.workspace import new_folder
@@ -551,3 +552,37 @@ def _(s):
 @report("r06_vigilancia_columnas", "Columns that appear or disappear between months")
 def _(s):
     return evolution.vigilancia_columnas(s.files().footers())
+
+
+# Reports from the aggregates that are kept for each file month
+
+
+@report("s01_resumen_mensual", "Monthly summary, from the monthly state")
+def _(s):
+    return monthly_state.resumen_mensual(s.monthly_state.read(), s.settings.years, s.settings.digits)
+
+
+@report("s02_distribucion_pago", "Payment distribution, from the monthly state")
+def _(s):
+    return monthly_state.distribucion_pago(s.monthly_state.read(), s.settings.years, s.settings.digits)
+
+
+@report("s03_demanda_mensual", "Demand by month, from the monthly state")
+def _(s):
+    return monthly_state.demanda_mensual(s.monthly_state.read())
+
+
+@report("s04_cargo_congestion", "Congestion fee by month, from the monthly state")
+def _(s):
+    return monthly_state.cargo_congestion(s.monthly_state.read())
+
+
+@report("s05_dias_activos", "Trips per active day, from day bitmaps")
+def _(s):
+    return monthly_state.dias_activos(s.monthly_state.read())
+
+
+@report("s06_percentiles_por_boceto", "Sketched percentiles against their true ranks")
+def _(s):
+    trips = s.trips("tipo_taxi", *monthly_state.SKETCHED.values())
+    return monthly_state.control_percentiles(s.monthly_state.read(), trips, monthly_state.PROBS)
