@@ -221,10 +221,15 @@ def _meter(ordinary: bytes, toxic: bytes) -> Meter:
     return _METERS[key]
 
 
-def scored(docs: DataFrame, model: Model) -> DataFrame:
-    """The rows of ``docs`` with ``score`` in 0 to 1 for the whole text; other columns stay."""
+def scored(docs: DataFrame, model: Model, name: str = "score") -> DataFrame:
+    """The rows of ``docs`` with the score of the whole text, in 0 to 1, as column ``name``.
+
+    A column of that name is replaced, all others stay as they are. A null text counts as empty;
+    empty texts get the score of a text where nothing was saved, and without labels of both kinds
+    every score is the share of toxic rows. Repeated rows come out repeated, an empty table gives none.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(astuple(model))  # bounded: under 80 KB
-    kept = docs.select(*[c for c in docs.columns if c != "score"])
+    kept = docs.select(*[c for c in docs.columns if c != name])
 
     def run(batches):
         import numpy as np
@@ -238,9 +243,9 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
                 score = _probability(x, np.array(mean), np.array(scale), weights)
             else:
                 score = np.full(batch.num_rows, prior)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(score)], [*batch.schema.names, "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(score)], [*batch.schema.names, name])
 
-    return kept.mapInArrow(run, T.StructType([*kept.schema, T.StructField("score", T.DoubleType())]))
+    return kept.mapInArrow(run, T.StructType([*kept.schema, T.StructField(name, T.DoubleType())]))
 
 
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
