@@ -60,36 +60,25 @@ def exact_duplicates(docs: DataFrame) -> DataFrame:
     repeated rows exactly one. An empty table gives no rows; other columns are ignored.
 
     Rows are grouped by the MD5 of the remaining bytes; only the digests are shuffled for that,
-    and each task sends one row per hash. Then the bytes of every copy are compared with those
-    of the row that stays. A row that shares the hash but not the bytes is grouped again by its
-    bytes, so a collision never merges different texts.
+    and each task sends one row per hash. Then the bytes of texts that share a hash are compared.
+    Rows whose hash stands for several texts are grouped again, by the SHA-256 of each text, so a
+    collision never merges different texts. No rows meet by their ``doc_id``: many rows of one
+    id, null too, cost no more than others.
     """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     rows = saved(
         texts.mapInArrow(_digest, _DIGESTS).withColumn("row", F.monotonically_increasing_id()), "digests"
     )
-    groups = _groups(rows, "key")
-    copies = rows.join(groups.where("group_size > 1"), "key").select(
-        "doc_id", "row", "n_points", "key", "text_sha256", F.col("best.row").alias("best_row")
-    )
-    # The texts of copies only; the hash tells rows of one doc_id with different texts apart.
+    copied = _groups(rows, "key").where("group_size > 1").select("key")
+    # The texts of copies only, found by their hash: how many different ones does a hash stand for? A
+    # task hands on one body of each, so many copies of a text are few rows.
     kept = F.regexp_replace(F.coalesce("text", F.lit("")), SPACE, "")
-    bodies = (
-        copies.join(texts.withColumnRenamed("doc_id", "id"), F.col("doc_id").eqNullSafe(F.col("id")))
-        .withColumn("body", kept)
-        .where(F.unhex(F.md5(F.col("body").cast("binary"))) == F.col("key"))
-        .drop("text", "id")
-    )
-    first = bodies.where("row = best_row").select("key", F.col("body").alias("first_body"))
-    odd = (
-        bodies.where("row <> best_row")
-        .join(first.dropDuplicates(["key"]), "key")
-        .where("body <> first_body")
-        .select("doc_id", "row", "n_points", "key", "text_sha256", "body")
-        .dropDuplicates(["row"])
+    bodies = texts.select(kept.alias("body")).select(
+        F.unhex(F.md5(F.col("body").cast("binary"))).alias("key"), F.sha2("body", 256).alias("text_sha256"), "body"
     )
-    odd = saved(odd, "collisions")
-    even = rows.join(odd.select("row"), "row", "left_anti")
+    different = bodies.join(copied, "key", "left_semi").groupBy("key", "text_sha256", "body").agg(F.count("*").alias("n"))
+    collided = saved(different.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"), "collisions")
+    even, odd = (rows.join(collided, "key", how) for how in ("left_anti", "left_semi"))
     return _decide(even, _groups(even, "key"), "key").unionByName(
-        _decide(odd, _groups(odd, "key", "body"), "key", "body")
+        _decide(odd, _groups(odd, "key", "text_sha256"), "key", "text_sha256")
     )

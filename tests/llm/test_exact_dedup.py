@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import hashlib
+import time
 from collections import defaultdict
 
+from pyspark.sql import functions as F
+
 from milepost.llm import exact_dedup
 from milepost.llm.exact_dedup import exact_duplicates
 
@@ -39,6 +42,17 @@ def test_repeated_rows_keep_one(spark):
     assert {(r.doc_id, r.keep_id, r.group_size) for r in got} == {(5, 5, 4), (6, 5, 4), (None, None, 2)}
 
 
+def test_rows_of_one_id_cost_no_more_than_others(spark):
+    """100,000 rows without an id, half of them copies."""
+    rows = spark.range(100_000).select(
+        F.lit(None).cast("long").alias("doc_id"), F.concat(F.lit("text "), (F.col("id") % 50_000).cast("string")).alias("text")
+    )
+    started = time.monotonic()
+    found = exact_duplicates(rows).agg(F.count("*"), F.count_if("kept"), F.min("group_size"), F.max("group_size")).first()
+    assert tuple(found) == (100_000, 50_000, 2, 2)
+    assert time.monotonic() - started < 60
+
+
 def test_collisions_are_told_apart(spark, monkeypatch):
     """All texts get one key: only the comparison of bytes can separate them."""
     whole = exact_dedup._digest
