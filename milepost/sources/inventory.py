@@ -14,7 +14,6 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Iterator
-from urllib.parse import unquote
 
 import pandas as pd
 from pyspark import cloudpickle
@@ -109,17 +108,6 @@ def list_files(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
-def empty_files(spark: SparkSession, root: str) -> DataFrame:
-    """``relativa`` of the files without any byte.
-
-    They are the ones Spark's file index names but its scan skips. The index lives on the
-    driver anyway.
-    """
-    names = [(unquote(name),) for name in _scan(spark, root).inputFiles()]
-    known = spark.createDataFrame(names, "ruta string").select(below_root(F.col("ruta"), root).alias("relativa"))
-    return known.join(list_files(spark, root), "relativa", "left_anti")
-
-
 def monthly_files(spark: SparkSession, root: str) -> DataFrame:
     """One row per monthly file: ``tipo_taxi, anio, mes, archivo, partes, bytes``.
 
@@ -145,41 +133,34 @@ def _spread(files: DataFrame) -> DataFrame:
     return files.repartition(files.sparkSession.sparkContext.defaultParallelism)
 
 
-def _signature_ok(path: str, options: dict[str, str]) -> bool:
+def opened(path: str, options: dict[str, str]) -> tuple[bool, int | None, str | None, list[tuple] | None]:
+    """Signature, record count, problem and ``posicion, columna, tipo`` of one file, from a few bytes of it."""
     import pyarrow as pa
+    import pyarrow.parquet as pq
 
+    valid, length = False, len(PARQUET_SIGNATURE)
     try:
         with open_file(path, options) as handle:
             size = handle.size()
-            if size < 2 * len(PARQUET_SIGNATURE):
-                return False
-            head = handle.read_at(len(PARQUET_SIGNATURE), 0)
-            tail = handle.read_at(len(PARQUET_SIGNATURE), size - len(PARQUET_SIGNATURE))
-    except (OSError, pa.ArrowException):
-        return False
-    return head == PARQUET_SIGNATURE and tail == PARQUET_SIGNATURE
-
-
-def check_signatures(files: DataFrame) -> DataFrame:
-    """Add ``valido``: the file starts and ends with the Parquet signature."""
-
-    options = storage_options(files.sparkSession)
-
-    def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            yield batch.assign(valido=[_signature_ok(path, options) for path in batch["ruta"]])
-
-    columns = _spread(files.select("ruta", "relativa"))
-    return columns.mapInPandas(check, "ruta string, relativa string, valido boolean")
+            if size >= 2 * length:
+                ends = handle.read_at(length, 0), handle.read_at(length, size - length)
+                valid = ends == (PARQUET_SIGNATURE, PARQUET_SIGNATURE)
+            footer = pq.read_metadata(handle)
+            schema = footer.schema.to_arrow_schema()
+    except (OSError, pa.ArrowException) as problem:
+        if not _is_broken(problem):
+            raise
+        return valid, None, str(problem)[:500], None
+    return valid, footer.num_rows, None, [(i, field.name, _spark_type(field.type)) for i, field in enumerate(schema)]
 
 
 def monthly_file_status(spark: SparkSession, root: str) -> DataFrame:
     """``tipo_taxi, anio, mes, archivo, valido``: a month is valid when all its parts are."""
+    from milepost.sources.footer_source import read_footers
+
     path = F.col("relativa")
-    checked = check_signatures(list_files(spark, root)).select("relativa", "valido")
-    empty = empty_files(spark, root).withColumn("valido", F.lit(False))
     return (
-        checked.unionByName(empty)
+        read_footers(spark, root)
         .groupBy(
             service_of(path, None).alias("tipo_taxi"),
             year_of(path).alias("anio"),
@@ -233,29 +214,16 @@ def all_footers(files: DataFrame) -> DataFrame:
     A file that cannot be read for another reason, such as a missing right or a store that does not
     answer, ends the query: it must not be taken for one without records.
     """
-    import pyarrow.parquet as pq
-
     options = storage_options(files.sparkSession)
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import pyarrow as pa
-
         for batch in batches:
             rows = []
             for path, relative in zip(batch["ruta"], batch["relativa"]):
-                try:
-                    with open_file(path, options) as handle:
-                        footer = pq.read_metadata(handle)
-                        schema = footer.schema.to_arrow_schema()
-                except (OSError, pa.ArrowException) as problem:
-                    if not _is_broken(problem):
-                        raise
-                    rows.append((path, relative, None, None, None, None, str(problem)[:500]))
-                    continue
-                rows += [
-                    (path, relative, position, field.name, _spark_type(field.type), footer.num_rows, None)
-                    for position, field in enumerate(schema)
-                ]
+                _, records, problem, columns = opened(path, options)
+                # A file without columns has a row all the same.
+                for column in columns or [(None, None, None)]:
+                    rows.append((path, relative, *column, records, problem))
             names = ["ruta", "relativa", "posicion", "columna", "tipo", "registros", "error"]
             yield pd.DataFrame(rows, columns=names).astype({"posicion": "Int32", "registros": "Int64"})
 
