@@ -26,14 +26,14 @@ def _halves(h: Column) -> Column:
     where n is the shorter length; a line gives the keys for its own length and one less.
     """
 
-    def keys(n: Column) -> Column:
-        m = F.floor((n - 1) / 2).cast("int")
+    def keys(m: Column) -> Column:
         return F.array(
             F.struct(F.lit(False).alias("last"), F.xxhash64(F.lit(1), m, F.slice(h, 1, m)).alias("half")),
             F.struct(F.lit(True).alias("last"), F.xxhash64(F.lit(2), m, F.slice(h, F.size(h) - m + 1, m)).alias("half")),
         )
 
-    return F.array_distinct(F.concat(keys(F.size(h)), keys(F.size(h) - 1)))
+    own, less = (F.floor((F.size(h) - k) / 2).cast("int") for k in (1, 2))
+    return F.when(own == less, keys(own)).otherwise(F.concat(keys(own), keys(less)))
 
 
 def _hashes(w: Column) -> Column:
