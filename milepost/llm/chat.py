@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 START, END = "<|im_start|>", "<|im_end|>"
-#: Turn numbers per rendered part; a dialogue that is longer comes out in several.
+#: Turn numbers per row; the rendering of a longer dialogue goes on in the next rows.
 PART_TURNS = 64
 
 
@@ -24,11 +24,11 @@ def _name(role: Column) -> Column:
 def perspectives(
     turns: DataFrame, narrators: Sequence[str] = ("system",), part_turns: int = PART_TURNS
 ) -> DataFrame:
-    """One row per dialogue, speaker and part: ``conv_id, speaker, part, n_turns, text, mask``.
+    """The rendering of each dialogue for each speaker, in parts: ``conv_id, speaker, part, starts, n_turns, text, mask``.
 
     Every role but the narrators is a speaker. In a speaker's rendering their turns are the
     assistant's, those of others a user's with the role as name, and narrators keep their role.
-    ``mask`` holds the half-open spans (code points within ``text``) to train on: the
+    ``mask`` holds the half-open spans (code points of the whole rendering) to train on: the
     assistant's texts with the end marker. Turns are ordered by number, role and text, nulls
     first. Fully repeated rows are one turn. A null text is empty, a null role is the speaker
     ``unknown``, a null ``conv_id`` is one dialogue, a null number comes before part 0 (part
@@ -36,7 +36,9 @@ def perspectives(
     are ignored.
 
     A part holds the turns of ``part_turns`` consecutive numbers, so a task's group stays small
-    however long the dialogue is; each part is a complete text with spans of its own.
+    however long the dialogue is. The parts of a dialogue in order are one rendering: ``starts`` is
+    where a part begins in it, and spans are counted from its beginning, so whoever cuts windows
+    has the system's turn, all context and every span of any length. :func:`whole_dialogues` joins them.
     """
     rows = turns.select(
         F.col("conv_id").cast("long").alias("conv_id"),
@@ -67,15 +69,32 @@ def perspectives(
             (end + 1).alias("at"), F.when(r.own, F.concat(state.spans, span)).otherwise(state.spans).alias("spans")
         )
 
-    none = F.array().cast("array<struct<start:int,end:int>>")
-    mask = F.aggregate("rendered", F.struct(F.lit(0).alias("at"), none.alias("spans")), add, lambda s: s.spans)
+    none = F.array().cast("array<struct<start:bigint,end:bigint>>")
+    first = F.struct(F.col("starts").alias("at"), none.alias("spans"))
+    mask = F.aggregate("rendered", first, add, lambda s: s.spans)
+    cells = parts.join(speakers, F.col("conv_id").eqNullSafe(F.col("of"))).select(
+        "conv_id", "speaker", "part", F.transform("turns", rendered).alias("rendered")
+    )
+    # A few numbers per part give the places of all, without their texts.
+    length = F.aggregate(
+        "rendered", F.lit(0).cast("long"), lambda n, r: n + F.length(r.head) + F.length(r.body) + 1
+    )
+    before = Window.partitionBy("in_conv", "in_speaker").orderBy("in_part").rowsBetween(Window.unboundedPreceding, -1)
+    places = cells.select(
+        F.col("conv_id").alias("in_conv"), F.col("speaker").alias("in_speaker"), F.col("part").alias("in_part"), length.alias("length")
+    ).withColumn("starts", F.coalesce(F.sum("length").over(before), F.lit(0)))
+    same = (
+        F.col("conv_id").eqNullSafe(F.col("in_conv"))
+        & (F.col("speaker") == F.col("in_speaker"))
+        & F.col("part").eqNullSafe(F.col("in_part"))
+    )
     return (
-        parts.join(speakers, F.col("conv_id").eqNullSafe(F.col("of")))
-        .select("conv_id", "speaker", "part", F.transform("turns", rendered).alias("rendered"))
+        cells.join(places, same)
         .select(
             "conv_id",
             "speaker",
             "part",
+            "starts",
             F.size("rendered").cast("long").alias("n_turns"),
             F.array_join(F.transform("rendered", lambda r: F.concat(r.head, r.body, F.lit("\n"))), "").alias("text"),
             mask.alias("mask"),
@@ -83,6 +102,21 @@ def perspectives(
     )
 
 
+def whole_dialogues(rendered: DataFrame) -> DataFrame:
+    """One row per dialogue and speaker, of :func:`perspectives`: all turns, the whole text and all spans.
+
+    For dialogues of a size that a row can hold; of longer ones read the parts in order.
+    """
+    parts = F.sort_array(F.collect_list(F.struct("starts", "n_turns", "text", "mask")))
+    return rendered.groupBy("conv_id", "speaker").agg(parts.alias("parts")).select(
+        "conv_id",
+        "speaker",
+        F.aggregate("parts", F.lit(0).cast("long"), lambda n, p: n + p.n_turns).alias("n_turns"),
+        F.array_join(F.transform("parts", lambda p: p.text), "").alias("text"),
+        F.flatten(F.transform("parts", lambda p: p["mask"])).alias("mask"),
+    )
+
+
 #: The spans as text, for comparison.
 CHAT_SQL = """
 WITH t AS (
@@ -99,10 +133,10 @@ WITH t AS (
        ON t.conv_id IS NOT DISTINCT FROM s.conv_id
 ), placed AS (
   SELECT *, sum(length(head) + length(body) + 1) OVER (
-              PARTITION BY conv_id, speaker, part ORDER BY turn, role, text) - 1 AS ends
+              PARTITION BY conv_id, speaker ORDER BY turn, role, text) - 1 AS ends
   FROM v
 )
-SELECT conv_id, speaker, part, count(*) AS n_turns,
+SELECT conv_id, speaker, part, (min(ends - length(head) - length(body)))::BIGINT AS starts, count(*) AS n_turns,
        string_agg(head || body || chr(10), '' ORDER BY turn, role, text) AS text,
        string_agg(CASE WHEN own THEN (ends - length(body)) || '-' || ends END, ',' ORDER BY turn, role, text) AS mask
 FROM placed GROUP BY conv_id, speaker, part

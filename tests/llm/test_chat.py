@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections import defaultdict
 
-from milepost.llm.chat import perspectives
+from milepost.llm.chat import perspectives, whole_dialogues
 
 SCHEMA = "conv_id long, turn long, role string, text string, speaker int, part string"
 
@@ -18,30 +18,30 @@ def brute(rows):
     for conv, turns in talks.items():
         order = sorted(turns, key=lambda t: (t[0] is not None, t))
         for speaker in {r for _, r, _ in turns if r != "system"}:
-            for part in {None if t is None else t // 64 for t, _, _ in turns}:
-                text, spans, n = "", [], 0
-                for t, role, body in order:
-                    if (None if t is None else t // 64) != part:
-                        continue
-                    who = "assistant" if role == speaker else role if role == "system" else f"user name={role}"
-                    text += f"<|im_start|>{who}\n"
-                    if role == speaker:
-                        spans.append((len(text), len(text) + len(body) + len("<|im_end|>")))
-                    text += body + "<|im_end|>\n"
-                    n += 1
-                out[conv, speaker, part] = (n, text, spans)
+            text = ""
+            for t, role, body in order:
+                part = None if t is None else t // 64
+                n, own, spans, starts = out.get((conv, speaker, part), (0, "", [], len(text)))
+                who = "assistant" if role == speaker else role if role == "system" else f"user name={role}"
+                head = f"<|im_start|>{who}\n"
+                at = len(text) + len(head)
+                if role == speaker:
+                    spans = [*spans, (at, at + len(body) + len("<|im_end|>"))]
+                text += head + body + "<|im_end|>\n"
+                out[conv, speaker, part] = (n + 1, own + head + body + "<|im_end|>\n", spans, starts)
     return out
 
 
 def check(spark, rows):
     docs = spark.createDataFrame([(*r, 1, "clash") for r in rows], SCHEMA).repartition(4)
-    got = {
-        (r.conv_id, r.speaker, r.part): (r.n_turns, r.text, [tuple(s) for s in r.mask])
-        for r in perspectives(docs).collect()
-    }
+    found = perspectives(docs).persist()
+    got = {(r.conv_id, r.speaker, r.part): (r.n_turns, r.text, [tuple(s) for s in r.mask], r.starts) for r in found.collect()}
     assert got == brute(rows)
-    for _, text, spans in got.values():
-        assert all(text[a:b].endswith("<|im_end|>") and text[:a].endswith("<|im_start|>assistant\n") for a, b in spans)
+    whole = whole_dialogues(found).collect()
+    assert sum(r.n_turns for r in whole) == sum(n for n, *_ in got.values())
+    for r in whole:
+        assert all(r.text[a:b].endswith("<|im_end|>") and r.text[:a].endswith("<|im_start|>assistant\n") for a, b in r.mask)
+        assert r.text.count("<|im_start|>assistant") == len(r.mask)
 
 
 def test_three_speakers(spark):
