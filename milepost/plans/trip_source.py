@@ -167,7 +167,9 @@ class StarTrips(TripSource):
     """Trips derived from ``lineitem``, ``orders``, ``customer``, ``supplier``.
 
     Lookups are left joins on unique keys, which neither drop nor repeat line items, so a
-    table no wanted column comes from is not joined at all. ``table`` is a saved copy to answer from.
+    table no wanted column comes from is not joined at all. ``table`` is a saved copy to answer from;
+    ``buckets`` is a database made by :func:`milepost.plans.tables.write_buckets`, whose orders and line
+    items are joined where they lie.
     """
 
     # Dates replace clock times in these tables: the cap is 360 days instead of 360 minutes.
@@ -194,15 +196,26 @@ class StarTrips(TripSource):
     )
 
     def __init__(
-        self, spark: SparkSession, sf_dir: str, settings: Settings = SETTINGS, table: str | None = None
+        self,
+        spark: SparkSession,
+        sf_dir: str,
+        settings: Settings = SETTINGS,
+        table: str | None = None,
+        buckets: str | None = None,
     ) -> None:
         self.spark, self.sf_dir, self.settings, self._copy = spark, sf_dir.rstrip("/"), settings, table
+        self._buckets = buckets
         self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
         """One of the given tables."""
         if name not in self._tables:
-            self._tables[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+            bucketed = self._buckets is not None and name in tables.BUCKET_KEYS
+            self._tables[name] = (
+                self.spark.table(f"`{self._buckets}`.{name}")
+                if bucketed
+                else self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+            )
         return self._tables[name]
 
     def trips(self, *columns: str, raw: bool = False) -> DataFrame:

@@ -134,3 +134,22 @@ def test_reports_start_no_job_and_read_the_source_twice_at_most(spark, tmp_path)
         spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
     plan = built["a13_indice_base"]._jdf.queryExecution().optimizedPlan().toString()
     assert "percentile" not in plan and plan.count("Relation [l_orderkey") == 1
+
+
+def test_bucketed_tables_are_joined_where_they_lie(spark, tmp_path):
+    source = write_star(spark, tmp_path, n=9_000)
+    tables.write_buckets(spark, str(tmp_path), "estrella", 4)
+    bucketed = StarTrips(spark, str(tmp_path), buckets="estrella")
+    columns = ("anio", "tipo_taxi", "payment_type", "fare_amount", "pickup_datetime")
+    with settings(spark, spark__sql__autoBroadcastJoinThreshold="-1"):
+        def plan(trips):
+            return trips.trips(*columns)._jdf.queryExecution().executedPlan().toString()
+
+        assert plan(source).count("Exchange hashpartitioning") == 2
+        assert "SortMergeJoin" in plan(bucketed) and "Exchange" not in plan(bucketed)
+        assert plan(bucketed).count("Bucketed: true") == 2
+        for name in ("q20_distribucion_pago", "q21_rutas_principales"):
+            assert REPORTS[name](bucketed).collect() == REPORTS[name](source).collect()
+        key = lambda r: tuple(map(str, r))
+        assert sorted(bucketed.trips(*columns).collect(), key=key) == sorted(source.trips(*columns).collect(), key=key)
+    spark.sql("DROP DATABASE estrella CASCADE")
