@@ -37,5 +37,7 @@ class Settings:
     last_month: int = 8
     # Rounding of the comparison reports; None keeps the full double.
     digits: int | None = None
+    # Points by which a monthly share moves before it is an alert.
+    alert_change: float = 5.0
     # False takes quantiles from sketches, in one pass.
     exact: bool = True
