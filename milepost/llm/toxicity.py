@@ -14,6 +14,8 @@ from pyspark.sql import types as T
 #: longest text in bytes that it uses. Scoring has no such bounds.
 SAMPLE_TOXIC, SAMPLE_ORDINARY, SAMPLE_BYTES = 3_000, 5_000, 32_768
 WINDOW_BYTES = 96
+#: The trainer of the ordinary dictionary gets the sample texts whole, in pieces of so many bytes.
+PIECE_BYTES = 4_096
 ORDINARY_BYTES, TOXIC_BYTES = 65_536, 8_192
 #: Evidence (log-likelihood ratio) that a word needs to enter the toxic dictionary; the value
 #: that separates the calibration rows best is taken.
@@ -113,7 +115,8 @@ def _toxic_words(toxic: list[str], ordinary: list[str]) -> list[tuple[float, byt
 def _ordinary_content(texts: list[str]) -> bytes:
     import zstandard
 
-    samples = [t.lower().encode()[:4096] for t in texts]
+    whole = [t.lower().encode() for t in texts]
+    samples = [t[at : at + PIECE_BYTES] for t in whole for at in range(0, len(t), PIECE_BYTES)]
     try:
         return zstandard.train_dictionary(ORDINARY_BYTES, samples).as_bytes()
     except (zstandard.ZstdError, ValueError):  # too few samples for the trainer
