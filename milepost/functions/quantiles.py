@@ -23,8 +23,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Bins per bracket.
-BINS = 1_024
+#: Bins per bracket, and ranks that a bracket must span to be used.
+BINS, OPEN_RANKS = 1_024, 4
 
 # Stands for any value under a bracket.
 BELOW = "double('-Infinity')"
@@ -76,8 +76,9 @@ def grouped_quantiles(
     )
     slots = [(s, m, j) for s, (m, j) in enumerate((m, j) for m in names for j in range(len(probs)))]
 
-    # A bracket of fewer than four ranks may miss the two that are interpolated: it stays open.
-    narrow = 4 * accuracy // 6
+    # A bracket of fewer than four ranks may miss the two that are interpolated: it stays open, so
+    # a group of up to this many values (666 by default) is kept whole. The result is the same.
+    narrow = OPEN_RANKS * accuracy // 6
     # The slot expressions are SQL text: one call to the JVM each instead of a dozen.
     limits = []
     for s, m, j in slots:

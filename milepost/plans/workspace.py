@@ -11,9 +11,14 @@ WAREHOUSE_SETTING = "spark.sql.warehouse.dir"
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``, else the warehouse: every executor reaches both."""
+    """The folder named by ``spark.checkpoint.dir``, else a warehouse that every executor reaches."""
     configured = spark.conf.get(CHECKPOINT_SETTING, None) or spark.sparkContext.getCheckpointDir()
-    return (configured or spark.conf.get(WAREHOUSE_SETTING)).rstrip("/")
+    if configured:
+        return configured.rstrip("/")
+    warehouse = spark.conf.get(WAREHOUSE_SETTING).rstrip("/")
+    if warehouse.startswith(("file:", "/")) and not spark.sparkContext.master.startswith("local"):
+        raise ValueError(f"{CHECKPOINT_SETTING} is not set, and executors do not share the driver's {warehouse}")
+    return warehouse
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
