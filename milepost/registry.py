@@ -21,7 +21,7 @@ from milepost.plans.trip_source import TripSource
 from milepost.plans.workspace import new_folder
 from milepost.sources.inventory import year_of
 from milepost.streaming.arrival import ingest_arrivals, read_ingested
-from milepost.streaming.watch import summarise, watch
+from milepost.streaming.watch import alerts_per_service, summarise, watch
 
 Build = Callable[[TripSource], DataFrame]
 
@@ -555,7 +555,7 @@ def _(s):
     return evolution.vigilancia_columnas(s.files().footers())
 
 
-@report("r06_alertas", "Months whose shares differ from the month before, watched in two runs")
+@report("r06_alertas", "Alerts on monthly shares per service, watched in two runs")
 def _(s):
     months = summarise(REPORTS["r06_vigilancia_registros"](s))
     summaries, found, checkpoint = (new_folder(s.spark, n) for n in ("resumenes", "alertas", "alertas-control"))
@@ -564,7 +564,7 @@ def _(s):
         of_run = months.where((F.year("fecha") < half) == earlier)
         of_run.coalesce(1).write.mode("append").parquet(summaries)
         alerts = watch(s.spark, summaries, found, checkpoint, s.settings.alert_change)
-    return alerts.drop("columna")
+    return alerts_per_service(alerts, months)
 
 
 # Reports from the aggregates that are kept for each file month

@@ -95,3 +95,11 @@ def summarise(months: DataFrame, footers: DataFrame | None = None) -> DataFrame:
         return shares.withColumn("columnas", F.lit(None).cast("array<string>"))
     columns = footers.groupBy("tipo_taxi", "fecha").agg(F.sort_array(F.collect_set("columna")).alias("columnas"))
     return shares.join(columns, ["tipo_taxi", "fecha"], "left")
+
+
+def alerts_per_service(alerts: DataFrame, months: DataFrame) -> DataFrame:
+    """``tipo_taxi, medida, alertas, ultima`` of every service and share, those without an alert too."""
+    every = months.select("tipo_taxi").distinct().select("tipo_taxi", F.explode(F.array(*map(F.lit, SHARES))).alias("medida"))
+    given = alerts.groupBy("tipo_taxi", "medida").agg(F.count("*").alias("alertas"), F.max("fecha").alias("ultima"))
+    both = every.join(given, ["tipo_taxi", "medida"], "left").fillna(0, ["alertas"])
+    return both.orderBy("tipo_taxi", "medida")
