@@ -58,14 +58,8 @@ class TripSource:
         """``tipo_taxi, anio, mes, archivo, valido`` of every monthly file."""
         return self.files().file_status()
 
-    # The files that the source was given, which need not be monthly.
-
-    def given_files(self) -> DataFrame:
-        """As :meth:`monthly_files`."""
-        return self.monthly_files()
-
     def signatures(self) -> DataFrame:
-        """As :meth:`file_status`."""
+        """As :meth:`file_status`, of the files that the source was given, which need not be monthly."""
         return self.file_status()
 
     def saved(self) -> DataFrame:
@@ -289,10 +283,6 @@ class StarTrips(TripSource):
         rows = self.trips("tipo_taxi", "anio", "mes", raw=True).groupBy("tipo_taxi", "anio", "mes")
         return rows.agg(F.count(F.lit(1)).alias("registros")).select(_monthly_name().alias("relativa"), "registros")
 
-    def given_files(self) -> DataFrame:
-        """The given tables' own files."""
-        return inventory.monthly_files(self.spark, self.sf_dir)
-
     def signatures(self) -> DataFrame:
         """Of the given tables' own files."""
         return inventory.monthly_file_status(self.spark, self.sf_dir)
