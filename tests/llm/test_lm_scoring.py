@@ -172,3 +172,40 @@ def test_places_follow_the_last_symbols_alone():
         assert all(len(p) == 1 for p in by_context.values())
         assert len({p for own in by_context.values() for p in own}) > 0.99 * len(by_context)
         assert (at[k][len(text) + 2 :] == at[k][1:51]).all()
+
+
+def test_counting_works_out_each_context_once(monkeypatch):
+    """Places were hashed for every symbol and every context before equal ones were added up."""
+    texts = [(i, b"an berco du ") for i in range(50)] + [(50, b""), (51, b"\x00 x ")]
+    pairs = np.ones((258, 257), int)
+    code, n_bits, hashed = Code(pairs, {(3, 5): pairs[5]}), 12, []
+    slot = module._slot
+    monkeypatch.setattr(module, "_slot", lambda key, *more: hashed.append(len(key)) or slot(key, *more))
+    tables = [np.zeros(2 * size, dtype=np.int32) for size in module.sizes(n_bits)]
+    (parts,) = module.pieces(iter(texts), 1 << 20)
+    module.count(parts, code, n_bits, tables)
+    assert sum(hashed) <= len(ORDERS) * 19  # symbols of the three different texts
+
+    shifts = code.shifts(n_bits)
+    expected = [np.zeros(2 * size, dtype=np.int32) for size in module.sizes(n_bits)]
+    for _, text in texts:
+        s = np.array([0, *(x + 1 for x in text), END + 1], dtype=np.uint16)
+        for i, path in list(enumerate(code.after(s) + s.astype(int) - 1))[1:]:
+            for at in range(code.start[path], code.start[path] + code.length[path]):
+                for k, place in enumerate(places(s, n_bits)):
+                    slot_of = int(place[i]) ^ (int(shifts[code.node[at]]) & ((1 << (n_bits - module.LESS[k])) - 1))
+                    expected[k][2 * slot_of + int(code.bit[at])] += 1
+    assert all((a == b).all() for a, b in zip(tables, expected))
+
+
+def test_words_are_listed_with_their_texts(monkeypatch):
+    import pyarrow as pa
+
+    texts = ["AN ber\x00co \n an", None, "", "ber", "\u2028 \x85 an"]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], ["text"])
+    for most in (1, 1 << 25):
+        monkeypatch.setattr(module, "WORDS", most)
+        found = Counter()
+        for part in module._tokens(iter([batch, batch.slice(0, 0)])):
+            found.update(dict(zip(part.column("token").to_pylist(), part.column("c").to_pylist())))
+        assert found == Counter([t.encode() for text in texts for t in words(text)] + [b""] * len(texts))
