@@ -15,6 +15,8 @@ CLASSES = {
     "symbol": r"[#*$%&|<>]+",
     "mark": r"[!\"'()+,./:;=?@\[\]^_`{}~\\-]+",
 }
+#: Characters of no class above: plain letters and white space.
+UNCLASSED = r"[a-z\x20\x09-\x0D]+"
 HISTOGRAM = (*CLASSES, "plain", "space")
 MIN_WORDS = 50
 
@@ -22,14 +24,14 @@ MIN_WORDS = 50
 def _repeated(text_words: Column) -> Column:
     """Words covered by 3-word windows that occur twice or more, the first included.
 
-    Windows are compared by a 64-bit hash: sorted by it, equal windows are neighbours.
+    Windows are compared by a 64-bit hash. Only if two are equal are they sorted by it, so that equal ones are neighbours.
     """
 
-    def windows(w: Column) -> Column:
-        def window(i: Column) -> Column:
-            return F.struct(F.xxhash64(F.get(w, i), F.get(w, i + 1), F.get(w, i + 2)).alias("h"), i.alias("at"))
+    def hashes(w: Column) -> Column:
+        return F.transform(F.sequence(F.lit(0), F.size(w) - 3), lambda i: F.xxhash64(F.get(w, i), F.get(w, i + 1), F.get(w, i + 2)))
 
-        return F.sort_array(F.transform(F.sequence(F.lit(0), F.size(w) - 3), window))
+    def windows(h: Column) -> Column:
+        return F.sort_array(F.transform(h, lambda x, i: F.struct(x.alias("h"), i.alias("at"))))
 
     def twice(s: Column) -> Column:
         return F.filter(s, lambda x, k: (x.h == F.get(s, k - 1).h) | (x.h == F.get(s, k + 1).h))
@@ -43,7 +45,10 @@ def _repeated(text_words: Column) -> Column:
             lambda a: a.n,
         )
 
-    count = let(text_words, lambda w: let(windows(w), lambda s: covered(twice(s))))
+    def repeats(h: Column) -> Column:
+        return F.when(F.size(F.array_distinct(h)) == F.size(h), 0).otherwise(let(windows(h), lambda s: covered(twice(s))))
+
+    count = let(text_words, lambda w: let(hashes(w), repeats))
     return F.when(F.size(text_words) < 3, 0).otherwise(count).cast("long")
 
 
@@ -64,18 +69,21 @@ def base(docs: DataFrame) -> DataFrame:
         .withColumn("w", words(text))
         .withColumn("n_words", F.size("w").cast("long"))
         .withColumn("word_chars", F.length(F.array_join("w", "")).cast("long"))
+        # What is left for the classes is a few per cent of a text, gone through once a class.
+        .withColumn("classed", F.regexp_replace(text, UNCLASSED, ""))
     )
+    classed = F.col("classed")
     rows = rows.select(
         "doc_id",
         "lang",
         F.xxhash64("text").alias("text_key"),
         "n_words",
         "word_chars",
-        _cut(text, CLASSES["symbol"]).cast("long").alias("n_symbols"),
+        _cut(classed, CLASSES["symbol"]).cast("long").alias("n_symbols"),
         let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"),
         _repeated(F.col("w")).alias("n_repeat_words"),
         (F.length(text) - F.col("word_chars")).cast("long").alias("space"),
-        *[_cut(text, CLASSES[c]).cast("long").alias(c) for c in CLASSES],
+        *[_cut(classed, CLASSES[c]).cast("long").alias(c) for c in CLASSES],
     )
     rest = F.col("word_chars") - sum((F.col(c) for c in CLASSES), F.lit(0))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
@@ -105,13 +113,13 @@ def _lower_words(docs: DataFrame) -> DataFrame:
 
 
 def common_words(docs: DataFrame, n: int) -> DataFrame:
-    """``word_no, lang, word, share``: the ``n`` most frequent words of each language, their share of its words."""
+    """``word_no, lang, word, c, total``: the ``n`` most frequent words of each language, their counts and that of all its words."""
     counts = _lower_words(docs).groupBy("lang", "word").agg(F.count("*").alias("c"))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.col("c").desc(), "word"))
     total = counts.groupBy(F.col("lang").alias("of")).agg(F.sum("c").alias("total"))
     ranked = counts.withColumn("rank", rank).where(F.col("rank") <= n)
     return ranked.join(total, F.col("lang").eqNullSafe(F.col("of"))).select(
-        F.monotonically_increasing_id().alias("word_no"), "lang", "word", (F.col("c") / F.col("total")).alias("share")
+        F.monotonically_increasing_id().alias("word_no"), "lang", "word", "c", "total"
     )
 
 
@@ -146,14 +154,15 @@ def quality(
     ref_chars = sum((F.col(f"ref_{c}") for c in HISTOGRAM), F.lit(0.0))
     shape = sum((_term(F.col(c) / F.col("chars"), F.col(f"ref_{c}") / F.col("ref_chars")) for c in HISTOGRAM), F.lit(0.0))
 
-    # Common words that a document lacks add their share; their sum is the language's total.
+    # Common words that a document lacks add their share; their sum is the language's total. Counts are summed, not
+    # shares, so that no order of a sum leaves a distance where there is none.
     known = frequent.select(F.col("lang").alias("of"), F.col("word").alias("common"), "word_no")
     counted = (
         _lower_words(docs)
         .join(known, F.col("lang").eqNullSafe(F.col("of")) & (F.col("word") == F.col("common")))
         .groupBy("doc_id", "text_key", "word_no")
         .agg(F.count("*").alias("c"))
-        .join(frequent.select("word_no", "lang", "share"), "word_no")
+        .join(frequent.select("word_no", "lang", F.col("c").alias("usual_c"), "total"), "word_no")
     )
     copies = rows.groupBy("doc_id", "text_key", "lang").agg(
         F.count("*").alias("copies"), F.first("n_words").alias("n")
@@ -164,30 +173,35 @@ def quality(
         .join(counted.alias("y"), seen[0] & seen[1] & seen[2])
         .select(
             *[f"x.{c}" for c in ("doc_id", "text_key", "lang")],
-            "share",
-            (F.col("c") / F.col("copies") / F.col("n")).alias("p"),
+            "usual_c",
+            (F.col("usual_c") / F.col("total")).alias("share"),
+            (F.col("c") / F.col("copies")).cast("long").alias("own_c"),
+            "n",
         )
         .groupBy("doc_id", "text_key", "lang")
         .agg(
-            F.sum(_term(F.col("p"), F.col("share"))).alias("present"),
-            F.sum("share").alias("present_share"),
-            F.sum("p").alias("common_share"),
+            F.sum(_term(F.col("own_c") / F.col("n"), F.col("share"))).alias("present"),
+            F.sum("usual_c").alias("present_c"),
+            F.sum("own_c").alias("own_c"),
         )
     )
-    totals = frequent.groupBy(F.col("lang").alias("total_of")).agg(F.sum("share").alias("lang_share"))
-    present, here = F.coalesce("present", F.lit(0.0)), F.coalesce("present_share", F.lit(0.0))
-    other = _term(1 - F.coalesce("common_share", F.lit(0.0)), 1 - F.col("lang_share"))
+    totals = frequent.groupBy(F.col("lang").alias("total_of")).agg(F.sum("c").alias("lang_c"), F.first("total").alias("total"))
+    present = F.coalesce("present", F.lit(0.0))
+    absent = (F.col("lang_c") - F.coalesce("present_c", F.lit(0))) / F.col("total")
+    other = _term(
+        (F.col("n_words") - F.coalesce("own_c", F.lit(0))) / F.col("n_words"), (F.col("total") - F.col("lang_c")) / F.col("total")
+    )
 
     joined = (
         rows.alias("x")
         .join(found.alias("y"), seen[0] & seen[1] & seen[2], "left")
-        .select("x.*", "present", "present_share", "common_share")
+        .select("x.*", "present", "present_c", "own_c")
         .join(usual, F.col("lang").eqNullSafe(F.col("of")), "left")
         .join(totals, F.col("lang").eqNullSafe(F.col("total_of")), "left")
         .withColumn("chars", chars.cast("double"))
         .withColumn("ref_chars", ref_chars)
         .withColumn("class_distance", F.when(F.col("chars") > 0, _distance(shape)))
-        .withColumn("word_distance", F.when(F.col("n_words") > 0, _distance(present + F.col("lang_share") - here + other)))
+        .withColumn("word_distance", F.when(F.col("n_words") > 0, _distance(present + absent + other)))
     )
     odd = ((F.col("chars") >= min_chars) & (F.coalesce("class_distance", F.lit(0.0)) > max_class_distance)) | (
         (F.col("n_words") >= min_words) & (F.coalesce("word_distance", F.lit(0.0)) > max_word_distance)

@@ -10,6 +10,7 @@ from math import log2, sqrt
 import pytest
 
 from milepost.llm.quality import CLASSES, quality
+from milepost.llm.quality import base as base_rows
 
 SCHEMA = "doc_id long, text string, lang string, kept string, share int"
 WORD = r"[^\x20\x09-\x0D]+"
@@ -92,3 +93,19 @@ def test_repeated_rows_null_ids_and_empty_table(spark):
     text = "the quick brown fox jumps over the lazy dog and runs on " * 2 + " ".join(f"w{i}" for i in range(60))
     check(spark, [(7, text, "en")] * 3 + [(None, text, "en"), (7, "other " + text, "en"), (8, None, None)])
     assert quality(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+def test_only_what_has_a_class_is_gone_through_for_each(spark):
+    """Every class went through the whole text, and every text's windows were sorted."""
+    rows = [(1, "plain words only " * 3, "en"), (2, "A1é#! \x0b~b\x00\x1cÀ" * 2, "en")]
+    plan = base_rows(spark.createDataFrame([(*r, "clash", 1) for r in rows], SCHEMA))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_replace(text#") == 1 and plan.count("array_distinct(") == 2  # of lines, of windows
+    check(spark, rows)
+
+
+def test_a_text_alone_in_its_language_has_no_distance(spark):
+    """Sums of shares in another order than their total's left 8e-9."""
+    rng = random.Random(4)
+    rows = [(i, " ".join(f"w{rng.randrange(40)}" for _ in range(90 + i)), f"l{i}") for i in range(40)]
+    docs = spark.createDataFrame([(*r, "clash", 1) for r in rows], SCHEMA).repartition(3)
+    assert {r.word_distance for r in quality(docs).collect()} == {0.0}
